@@ -16,7 +16,7 @@ def window_sums() -> list[Column]:
 
     Plain longs keep the aggregation on the hash path (a struct buffer would force a sort)."""
     return [
-        F.sum(F.when(F.col("window_tag") == w, F.coalesce(F.col(m), F.lit(0)))).alias(_col(w, m))
+        F.expr(f"sum(CASE WHEN window_tag = '{w}' THEN coalesce({m}, 0L) END)").alias(_col(w, m))
         for w in WINDOW_TAGS
         for m in MEASURES
     ]
@@ -27,9 +27,9 @@ def cell(install_field: str) -> Column:
     names = dict(zip(MEASURES, ("imp", "click", install_field)))
     slots = []
     for w in WINDOW_TAGS:
-        counts = F.struct(*[F.nullif(F.col(_col(w, m)), F.lit(0)).alias(names[m]) for m in MEASURES])
-        slots.append(F.when(F.col(_col(w, "imp")).isNotNull(), counts).alias(SLOT_PREFIX + w))
-    return F.struct(*slots)
+        counts = ", ".join(f"'{names[m]}', nullif({_col(w, m)}, 0L)" for m in MEASURES)
+        slots.append(f"'{SLOT_PREFIX}{w}', CASE WHEN {_col(w, 'imp')} IS NOT NULL THEN named_struct({counts}) END")
+    return F.expr(f"named_struct({', '.join(slots)})")
 
 
 def cell_type(install_field: str) -> str:

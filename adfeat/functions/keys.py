@@ -15,7 +15,7 @@ def dim_text(col: Column | str) -> Column:
 
 def dim_key(dims, prefix: str = "") -> Column:
     """``#``-joined dimension values. Values are made non-null first: concat_ws skips nulls."""
-    return F.concat_ws("#", *[dim_text(prefix + d) for d in dims])
+    return F.expr("concat_ws('#', " + ", ".join(f"coalesce(cast({prefix}{d} AS string), 'None')" for d in dims) + ")")
 
 
 def counter_key(dim_set: Column | str = "dim_set", key: Column | str = "dim_key", nation: str | None = None) -> Column:

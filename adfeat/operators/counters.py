@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adfeat.config import MAIN, MEASURES, DimSet, Variant
 from adfeat.functions.cells import cell, window_sums
-from adfeat.functions.keys import counter_key, dim_key, is_ascii
+from adfeat.functions.keys import counter_key, dim_key, is_ascii, keyed_sets
 
 
 def rollup(rows: DataFrame, sets: tuple[DimSet, ...], by: list[str], aggs: list[Column]) -> DataFrame:
@@ -27,17 +27,11 @@ def rollup(rows: DataFrame, sets: tuple[DimSet, ...], by: list[str], aggs: list[
     def gid(s: DimSet) -> int:
         return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in by and c not in s.dims)
 
-    def per_set(value) -> Column:
-        return reduce(lambda acc, s: acc.when(F.col("_gid") == gid(s), value(s)), sets[1:],
-                      F.when(F.col("_gid") == gid(sets[0]), value(sets[0])))
-
-    names = [c for c in grouped.columns if c not in cols and c != "_gid"]
-    return grouped.select(
-        *by,
-        per_set(lambda s: F.lit(s.name)).alias("dim_set"),
-        per_set(lambda s: dim_key(s.dims)).alias("dim_key"),
-        *names,
-    )
+    # one key builder per grouping id; the id tells a grouped-out column from a missing value
+    names = F.create_map(*[x for s in sets for x in (F.lit(gid(s)), F.lit(s.name))])
+    keys = reduce(lambda acc, s: acc.when(F.col("_gid") == gid(s), dim_key(s.dims)), sets, F)
+    out = [c for c in grouped.columns if c not in cols and c != "_gid"]
+    return grouped.select(*by, names[F.col("_gid").cast("int")].alias("dim_set"), keys.alias("dim_key"), *out)
 
 
 def measure_sums() -> list[Column]:
@@ -57,8 +51,16 @@ def ad_counters(accu: DataFrame, variant: Variant = MAIN) -> DataFrame:
 
 
 def user_counters(accu: DataFrame, variant: Variant = MAIN) -> DataFrame:
-    """User counters ``(user_id, window_tag, dim_set, dim_key, imp, click, attr_install)``."""
-    out = rollup(accu, variant.user_sets, ["user_id", "window_tag"], measure_sums())
+    """User counters ``(user_id, window_tag, dim_set, dim_key, imp, click, attr_install)``.
+
+    A user's keys hardly repeat, so unlike in :func:`rollup` little is combined before the shuffle
+    and the key text may as well be built first: the rows shuffled are narrower then, and a job that
+    reads the counters twice shares the shuffle (Spark does not recognise equal grouping sets).
+    """
+    rows = accu.select("user_id", "window_tag", *MEASURES, F.explode(keyed_sets(variant.user_sets)).alias("s"))
+    out = rows.groupBy("user_id", "window_tag", F.col("s.dim_set").alias("dim_set"), F.col("s.dim_key").alias("dim_key")).agg(
+        *measure_sums()
+    )
     return out.where(is_ascii("dim_key")) if variant.ascii_dims_only else out
 
 

@@ -32,8 +32,9 @@ def user_profiles(
     app_list)``. The install and use lists are restricted to ``allowed_apps`` (column ``app``).
     Several rows for the same slot: the greatest one wins, so reruns agree. A part without rows is null.
 
-    Base and behaviour rows are unioned and aggregated in one shuffle on the user. The allow-list
-    meets the exploded lists as a semi join, so Spark may broadcast it if it is small or not.
+    One list wins per user and type; its apps are then exploded, the restricted ones semi joined with
+    the allow-list (broadcast only if Spark finds it small), and gathered again with the base rows in
+    one aggregation per user. An extra row per list keeps lists that end up empty.
     """
     attrs = []
     for c in PROFILE_BASE:
@@ -41,38 +42,28 @@ def user_profiles(
         attrs.append((ascii_or_empty(v) if ascii_only and c in ("province", "city") else v).alias(c))
     rows = base.select("user_id", F.struct(*attrs).alias("userBase"))
     if behaviour is None:
-        return rows.groupBy("user_id").agg(F.max("userBase").alias("userBase")).withColumn(
-            "userBehavior", F.lit(None).cast("struct<" + ",".join(f"{s}:array<string>" for s in BEHAVIOUR_SLOTS.values()) + ">")
-        )
+        slots = "struct<" + ",".join(f"{s}:array<string>" for s in BEHAVIOUR_SLOTS.values()) + ">"
+        return rows.groupBy("user_id").agg(F.max("userBase").alias("userBase")).withColumn("userBehavior", F.lit(None).cast(slots))
 
-    apps = F.array_sort(F.array_distinct(F.coalesce(F.col("app_list"), F.array().cast("array<string>"))))
-    lists = behaviour.where(F.col("action_type").isin(*BEHAVIOUR_SLOTS)).select(
-        "user_id", *[F.when(F.col("action_type") == t, apps).alias(t) for t in BEHAVIOUR_SLOTS]
-    )
-    users = rows.unionByName(lists, allowMissingColumns=True).groupBy("user_id").agg(
-        F.max("userBase").alias("userBase"), *[F.max(t).alias(t) for t in BEHAVIOUR_SLOTS]
+    none = F.array().cast("array<string>")
+    lists = (
+        behaviour.where(F.col("action_type").isin(*BEHAVIOUR_SLOTS))
+        .groupBy("user_id", "action_type")
+        .agg(F.max(F.array_sort(F.array_distinct(F.coalesce("app_list", none)))).alias("l"))
     )
+    apps = lists.select("user_id", "action_type", F.explode(F.array_append("l", F.lit(None).cast("string"))).alias("app"))
     if allowed_apps is not None:
-        users = _restrict(users, allowed_apps)
-    slots = F.struct(*[F.col(t).alias(s) for t, s in BEHAVIOUR_SLOTS.items()])
-    any_slot = F.coalesce(*BEHAVIOUR_SLOTS).isNotNull()
-    return users.select("user_id", "userBase", F.when(any_slot, slots).alias("userBehavior"))
-
-
-def _restrict(users: DataFrame, allowed_apps: DataFrame) -> DataFrame:
-    """Keep allowed apps in the restricted lists; a list left without apps stays as an empty list."""
-    pairs = users.select(
-        "user_id",
-        F.explode(F.array_union(*[F.coalesce(F.col(t), F.array().cast("array<string>")) for t in RESTRICTED])).alias("app"),
-    )
-    kept = pairs.join(allowed_apps.select("app"), "app", "left_semi").groupBy(F.col("user_id").alias("_u")).agg(
-        F.collect_set("app").alias("_kept")
+        checked = F.col("action_type").isin(*RESTRICTED) & F.col("app").isNotNull()
+        apps = apps.where(~checked).unionByName(apps.where(checked).join(allowed_apps.select("app"), "app", "left_semi"))
+    of_type = {s: F.col("action_type") == t for t, s in BEHAVIOUR_SLOTS.items()}
+    users = rows.unionByName(apps, allowMissingColumns=True).groupBy("user_id").agg(
+        F.max("userBase").alias("userBase"),
+        *[F.collect_set(F.when(is_type, F.col("app"))).alias(s) for s, is_type in of_type.items()],
+        *[F.max(is_type).alias(f"has_{s}") for s, is_type in of_type.items()],
     )
-    joined = users.join(kept, F.col("user_id").eqNullSafe(F.col("_u")), "left").drop("_u")
-    none = F.array().cast("array<string>")
-    for t in RESTRICTED:
-        joined = joined.withColumn(t, F.when(F.col(t).isNotNull(), F.array_intersect(t, F.coalesce("_kept", none))))
-    return joined.drop("_kept")
+    behaviours = F.struct(*[F.when(F.col(f"has_{s}"), F.array_sort(s)).alias(s) for s in of_type])
+    any_list = F.coalesce(*[F.col(f"has_{s}") for s in of_type]).isNotNull()
+    return users.select("user_id", "userBase", F.when(any_list, behaviours).alias("userBehavior"))
 
 
 def package_categories(apps: DataFrame) -> DataFrame:

@@ -65,8 +65,8 @@ def merge_smooth(day: DataFrame, hourly: DataFrame, rules: SmoothingRules = Smoo
         for m in ("click", "attr_install")
     ]
     merged = rows.groupBy("dim_set", "dim_key").agg(*aggs)
-    totals = window_totals(day)  # one row, read as a scalar
-    all_imp, all_install = (totals.select(c).scalar() for c in ("all_imp", "all_install"))
+    totals = window_totals(day).select(F.struct("all_imp", "all_install")).scalar()  # one row
+    all_imp, all_install = totals["all_imp"], totals["all_install"]
     few_category = (F.col("dim_set") == "ad_package_category") & (F.col("imp") < rules.category_min_imp)
     few_name = (F.col("dim_set") == "ad_package_name") & (F.col("imp") < rules.name_min_imp)
     estimate = F.floor(F.col("imp") / F.lit(float(rules.imps_per_install)))

@@ -10,7 +10,7 @@ from adfeat.config import MAIN, Variant
 from adfeat.functions.cells import cell_type
 from adfeat.functions.keys import dim_text, keyed_sets
 from adfeat.operators.counters import counter_cells
-from adfeat.operators.skew import HOT_ROWS, join_hot
+from adfeat.operators.skew import HOT_ROWS, join_hot, key_counts
 
 AD_DIMS = ("package_name", "pos_id", "ad_id", "ad_package_name", "ad_package_category", "c_id")
 USER_AD_DIMS = ("pos_id", "ad_id", "ad_package_name", "ad_package_category", "c_id")
@@ -32,12 +32,16 @@ def _slots(tuples: DataFrame, counters: DataFrame, sets, owner: tuple[str, ...],
 
     Tuple columns are key texts named ``t_<dim>``; ``owner`` columns stand outside the key text.
     The tuples are exploded into one narrow row per set, joined once, and folded back (at most
-    one row per set and tuple).
+    one row per set and tuple). Counters of keys that no tuple asks for are dropped before their
+    windows are gathered; both steps share one shuffle on the key.
     """
     cols = tuples.columns
     wanted = tuples.select(*cols, F.explode(keyed_sets(sets, "t_")).alias("s")).select(*cols, "s.*")
-    cells = counter_cells(counters, variant, by=owner).withColumnsRenamed({o: f"t_{o}" for o in owner})
-    found = join_hot(wanted, cells, [*[f"t_{o}" for o in owner], "dim_set", "dim_key"], "inner", hot_rows)
+    on = [*[f"t_{o}" for o in owner], "dim_set", "dim_key"]
+    asked = wanted.select(*on).distinct().withColumnsRenamed({f"t_{o}": o for o in owner})
+    needed = counters.join(asked, [*owner, "dim_set", "dim_key"], "left_semi")
+    cells = counter_cells(needed, variant, by=owner).withColumnsRenamed({o: f"t_{o}" for o in owner})
+    found = join_hot(wanted, cells, on, "inner", hot_rows)
     folded = found.groupBy(*cols).agg(F.map_from_entries(F.collect_list(F.struct("dim_set", "cell"))).alias("m"))
     return folded.select(*cols, *[F.col("m")[s.name].alias(s.slot) for s in sets])
 
@@ -54,25 +58,29 @@ def assemble_samples(
     """Nested sample ``(keep…, label, feature)`` for every label row.
 
     Counters are looked up for the distinct dimension tuples of the labels, not per label and
-    dimension set, so the wide label rows are shuffled only by the final joins, whatever the
-    number of sets. Users and ads holding a large share of the labels are split by ``join_hot``.
+    dimension set, so the number of sets does not multiply the wide label rows. One aggregation of
+    the labels yields the tuples and, with them, which users and ads are hot; ``join_hot`` splits
+    those. The joins go from narrow to wide: each one shuffles what the earlier ones attached.
     """
     nation = ("nation",) if variant.nation_prefix else ()
     ad_tuple = [f"t_{d}" for d in (*nation, *AD_DIMS)]
     user_tuple = [f"t_{d}" for d in ("user_id", *USER_AD_DIMS)]
     # a missing user has no counters, hence no key text either
     rows = labels.withColumns({f"t_{d}": dim_text(d) for d in (*nation, *AD_DIMS)}).withColumn("t_user_id", F.col("user_id"))
+    tuples = key_counts(rows, ["t_user_id", *ad_tuple])
+    by_ad, by_user_ad, by_user = (key_counts(tuples, keys, "_n") for keys in (ad_tuple, user_tuple, ["t_user_id"]))
     if nation:
         ad_counters = ad_counters.withColumn("nation", dim_text("nation"))
 
-    ads = _slots(rows.select(*ad_tuple).distinct(), ad_counters, variant.ad_sets, nation, variant, hot_rows)
     users = _slots(
-        rows.where(F.col("t_user_id").isNotNull()).select(*user_tuple).distinct(),
-        user_counters, variant.user_sets, ("user_id",), variant, hot_rows,
+        by_user_ad.where(F.col("t_user_id").isNotNull()).drop("_n"), user_counters, variant.user_sets, ("user_id",), variant, hot_rows
     )
-    joined = join_hot(rows, ads, ad_tuple, "left", hot_rows, count_in=rows)
-    joined = join_hot(joined, users, user_tuple, "left", hot_rows, count_in=rows)
-    joined = join_hot(joined, profiles.select("user_id", "userBase", "userBehavior"), ["user_id"], "left", hot_rows, count_in=rows)
+    ads = _slots(by_ad.drop("_n"), ad_counters, variant.ad_sets, nation, variant, hot_rows)
+    owners = profiles.select(F.col("user_id").alias("t_user_id"), "userBase", "userBehavior")
+
+    joined = join_hot(rows, owners, ["t_user_id"], "left", hot_rows, by_user)
+    joined = join_hot(joined, users, user_tuple, "left", hot_rows, by_user_ad)
+    joined = join_hot(joined, ads, ad_tuple, "left", hot_rows, by_ad)
     return joined.select(*keep, _label(variant).alias("label"), _feature(variant).alias("feature"))
 
 
@@ -138,10 +146,14 @@ def sample_json(label: Column | str = "label", feature: Column | str = "feature"
     )
 
 
-def join_logged_features(labels: DataFrame, features: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Labels with the feature JSON logged for the same request, ad and creative; duplicates multiply."""
+def join_logged_features(labels: DataFrame, features: DataFrame) -> DataFrame:
+    """Labels with the feature JSON logged for the same request, ad and creative; duplicates multiply.
+
+    Both sides come straight from a scan and the request id is nearly unique, so counting hot keys
+    would cost as much as the join; a hot id (an empty one, say) is split by adaptive execution.
+    """
     f = features.select(F.col("request_id").alias("rid"), "ad_id", F.col("creative_id").alias("c_id"), "feature")
-    return join_hot(labels, f, ["rid", "ad_id", "c_id"], "inner", hot_rows)
+    return labels.join(f, ["rid", "ad_id", "c_id"])
 
 
 def logged_sample_json(feature: Column | str = "feature", variant: Variant = MAIN) -> Column:
@@ -152,8 +164,8 @@ def logged_sample_json(feature: Column | str = "feature", variant: Variant = MAI
     )
 
 
-def score_labels(labels: DataFrame, scored: DataFrame, package: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Labelled impressions of ``package`` with the scores logged for them, ids as text."""
+def score_labels(labels: DataFrame, scored: DataFrame, package: str) -> DataFrame:
+    """Labelled impressions of ``package`` with the scores logged for them, ids as text; joined as above."""
     a = labels.where(F.col("package_name") == package).select(
         F.col("rid").alias("request_id"), "beyla_id", "ad_package_name", F.col("ad_id").cast("string").alias("ad_id"),
         F.col("c_id").cast("string").alias("c_id"), "is_click", "is_attr_install", "bid_price",
@@ -162,6 +174,6 @@ def score_labels(labels: DataFrame, scored: DataFrame, package: str, hot_rows: i
         "request_id", F.col("creative_id").cast("string").alias("c_id"), F.col("camp_id").cast("string").alias("ad_id"),
         F.col("app_id").alias("ad_package_name"), "pctr", "pcvr",
     )
-    return join_hot(a, b, ["request_id", "c_id", "ad_id", "ad_package_name"], "inner", hot_rows).select(
+    return a.join(b, ["request_id", "c_id", "ad_id", "ad_package_name"]).select(
         "beyla_id", "ad_package_name", "ad_id", "c_id", "pctr", "pcvr", "bid_price", "is_click", "is_attr_install"
     )

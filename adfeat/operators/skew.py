@@ -9,14 +9,10 @@ from pyspark.sql import DataFrame, functions as F
 HOT_ROWS = 2_000_000
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least ``hot_rows`` rows and the number of pieces ``_pieces`` to split them into."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") >= hot_rows)
-        .select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces"))
-    )
+def key_counts(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
+    """Rows per key, as ``(keys…, _n)``; ``weight`` names a column of earlier counts to add up."""
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    return df.groupBy(*keys).agg(n.alias("_n"))
 
 
 def join_hot(
@@ -25,25 +21,29 @@ def join_hot(
     keys: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    count_in: DataFrame | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` for ``inner`` and ``left``, with the hot keys of ``left`` salted.
 
-    The hot keys are counted in ``count_in``, a cheaper frame with the same keys as often as
-    ``left`` has them, so that an expensive ``left`` is not computed twice.
+    ``counts`` are the :func:`key_counts` of ``left`` if the caller has them already; otherwise
+    they cost one more aggregation of ``left``, combined map-side.
 
     Rows of a hot key are spread by a hash of the whole row (repeatable, so a lost task can be
     recomputed), and only the matching right rows are repeated, once per piece. Null keys count as
     a key here: they never match, but unsalted they would all land in one task.
+
+    Adaptive skew handling alone would not do: it cannot split a join whose other side is an
+    aggregation on the same keys, which is the usual case for lookups.
     """
     assert how in ("inner", "left")
     cols = left.columns
-    hot = hot_keys(left if count_in is None else count_in, keys, hot_rows)
+    hot = (key_counts(left, keys) if counts is None else counts).where(F.col("_n") >= hot_rows).select(
+        *[F.col(k).alias(f"_h_{k}") for k in keys], F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")
+    )
 
     def mark(df: DataFrame) -> DataFrame:
-        h = hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], "_pieces")
-        cond = [df[k].eqNullSafe(h[f"_h_{k}"]) for k in keys]
-        return df.join(F.broadcast(h), cond, "left").drop(*[f"_h_{k}" for k in keys])
+        cond = [df[k].eqNullSafe(hot[f"_h_{k}"]) for k in keys]
+        return df.join(F.broadcast(hot), cond, "left").drop(*[f"_h_{k}" for k in keys])
 
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
     salted = mark(left).withColumn("_salt", F.pmod(F.xxhash64(*cols), pieces).cast("int")).drop("_pieces")

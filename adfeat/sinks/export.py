@@ -10,8 +10,9 @@ from adfeat.config import (
 from adfeat.functions.keys import counter_key, dim_text
 from adfeat.operators.counters import counter_cells
 
-# Entries with more counter keys than this are split into parts of about this size.
-MAX_KEYS_PER_PART = 20_000
+# Users with more counter keys than this get several parts. The list of such users is bounded by
+# keys / MAX_KEYS_PER_PART (5 million for 10^12 keys), which makes broadcasting it safe.
+MAX_KEYS_PER_PART = 200_000
 
 
 def write_hour_lines(lines: DataFrame, root: str, hour: str, mode: str = "errorifexists") -> None:
@@ -63,13 +64,11 @@ def user_counter_entries(
     builds an unbounded document; ordinary users have part 0 only.
     """
     cells = counter_cells(counters, variant, by=("user_id",)).select("user_id", counter_key().alias("k"), "cell")
-    big = (
-        counters.select("user_id", "dim_set", "dim_key").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > max_keys)
-        .select(F.col("user_id").alias("_u"), F.ceil(F.col("n") / max_keys).alias("_parts"))
-    )
-    # users above the limit are few and the cells of one are spread over many keys: left to AQE
-    sized = cells.join(big, F.col("user_id").eqNullSafe(F.col("_u")), "left")
+    # counting a hash of the whole cell keeps all its columns, so that count and documents read the same shuffle
+    big = cells.groupBy("user_id").agg(F.count(F.nullif(F.xxhash64("k", "cell"), F.lit(0))).alias("n")).where(
+        F.col("n") > max_keys
+    ).select(F.col("user_id").alias("_u"), F.ceil(F.col("n") / max_keys).alias("_parts"))
+    sized = cells.join(F.broadcast(big), F.col("user_id").eqNullSafe(F.col("_u")), "left")
     part = F.pmod(F.xxhash64("k"), F.coalesce("_parts", F.lit(1))).cast("int")
     docs = sized.groupBy("user_id", part.alias("part")).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "cell")))).alias("storeUserCounter")

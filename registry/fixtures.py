@@ -19,9 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a table in fewer files than there are cores, dealt out to all of them by a key hash.
+
+    A table in many files is read in parallel anyway and left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
+
+
 def accu(spark: SparkSession, sf_dir: str, users: bool = False) -> DataFrame:
     """Pre-accumulated counts; every 13th creative id is missing."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
     part = table(spark, sf_dir, "part")
     rows = line.join(part, line.l_partkey == part.p_partkey)
     if users:
