@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from adfeat import schemas
 from adfeat.config import AD_PLATFORM, EVENT_NAMES
-from adfeat.functions.jsontext import must_have
+from adfeat.functions.jsontext import must_have, parsed_once
 from adfeat.functions.keys import is_ascii
 
 IMP_CLICK_COLUMNS = (
@@ -25,11 +25,12 @@ def project_imp_click(log: DataFrame, packages, ascii_only: bool = False, keep:
     The filters are on plain columns and reach the Parquet scan before any JSON is parsed.
     ``ascii_only`` drops rows holding non-ASCII text; ``keep`` passes partition columns through.
     """
-    rows = log.where(
+    wanted = log.where(
         (F.col("sub_platform") == AD_PLATFORM)
         & F.col("package_name").isin(*packages)
         & F.col("event_name").isin(*EVENT_NAMES)
-    ).withColumn("camp", F.from_json("succ_camp", schemas.SUCC_CAMP, {"mode": "FAILFAST"}))
+    )
+    rows = parsed_once(wanted, F.from_json("succ_camp", schemas.SUCC_CAMP, {"mode": "FAILFAST"}), "camp")
 
     def camp(name: str):
         return must_have(F.col(f"camp.{name}"), name, F.col("succ_camp"))

@@ -30,14 +30,12 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     tsv_lines(df).write.mode(mode).text(path)
 
 
-def write_snapshot(df: DataFrame, root: str, day: str, mode: str = "errorifexists") -> None:
-    """Daily snapshot as Parquet under ``dt=``, split by dimension set where there is one.
+def write_snapshot(df: DataFrame, root: str, day: str, mode: str = "errorifexists", by_set: bool = False) -> None:
+    """Daily snapshot as Parquet under ``dt=``.
 
-    Readers that need a few sets (smoothing) then skip the others by partition pruning."""
+    ``by_set`` splits counters by dimension set, so that readers of a few sets skip the others."""
     writer = df.write.mode(mode)
-    if "dim_set" in df.columns:
-        writer = writer.partitionBy("dim_set")
-    writer.parquet(f"{root}/dt={day}")
+    (writer.partitionBy("dim_set") if by_set else writer).parquet(f"{root}/dt={day}")
 
 
 def entity_lines(entities: DataFrame) -> DataFrame:

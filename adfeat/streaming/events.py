@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from adfeat import schemas
 from adfeat.config import AD_PLATFORM, EVENT_NAMES
+from adfeat.functions.jsontext import parsed_once
 from adfeat.sinks.export import tsv_lines
 
 
@@ -23,7 +24,7 @@ def decode_events(raw: DataFrame, packages, events=EVENT_NAMES, keep: tuple[str,
     event names, and items without user, package, ad or creative id (missing or 0) are dropped.
     """
     message = F.from_json(F.from_json("value", schemas.STREAM_ENVELOPE)["message"], schemas.STREAM_MESSAGE)
-    rows = raw.select(*keep, message.alias("m")).where(
+    rows = parsed_once(raw, message, "m").where(
         (F.col("m.sub_pf") == AD_PLATFORM)
         & F.col("m.package_name").isin(*packages)
         & F.col("m.event_name").isin(*events)

@@ -53,10 +53,11 @@ def accu(spark: SparkSession, sf_dir: str, users: bool = False) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the ad dimensions derived from ``props``."""
+def events(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+    """Events with the ad dimensions derived from ``props``; ``heavy`` spreads them for costly row work."""
     k = F.get_json_object("props", "$.k").cast("int")
-    return table(spark, sf_dir, "events").withColumn("k", k).select(
+    rows = table(spark, sf_dir, "events")
+    return (spread(rows, "event_id") if heavy else rows).withColumn("k", k).select(
         "event_id", "user_id", "event_type", "value", "k", "ts",
         F.col("event_id").cast("string").alias("requestid"),
         F.col("user_id").cast("string").alias("beyla_id"),
@@ -74,7 +75,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cpi_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw impression and click log with the ad fields inside a JSON column."""
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir, heavy=True)
     return e.select(
         "requestid", "beyla_id", F.lit("EG").alias("country"), "pos_id", "package_name",
         F.coalesce("event_name", "event_type").alias("event_name"),
@@ -127,7 +128,7 @@ def mixer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("creative_id"), F.col("l_extendedprice").alias("ecpm"),
         F.concat(F.lit("spec"), F.col("l_linenumber").cast("string")).alias("model_spec"),
     )).alias("res_model"))
-    o = table(spark, sf_dir, "orders").join(ads, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    o = spread(table(spark, sf_dir, "orders"), "o_orderkey").join(ads, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     exp = F.when(F.col("o_orderkey") % 3 != 0, F.array(F.concat(F.lit("e"), (F.col("o_orderkey") % 5).cast("string")), F.lit("x")))
     return o.select(F.to_json(F.struct(
         F.col("o_orderkey").cast("string").alias("request_id"), F.col("o_custkey").cast("string").alias("user_id"),
@@ -149,7 +150,7 @@ def ads_lines(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
         )
 
     ads = F.when(k % 7 != 0, F.array(ad(0), ad(1)))
-    docs = events(spark, sf_dir).select(F.concat(
+    docs = events(spark, sf_dir, heavy=True).select(F.concat(
         F.lit("{"), F.coalesce(F.concat(F.lit(f'"{field}":'), F.to_json(ads, {"ignoreNullFields": "false"})), F.lit('"other":1')), F.lit("}")
     ).alias("value"))
     return docs
@@ -239,7 +240,7 @@ def rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event messages in their envelope, one or two items each; every 50th is malformed."""
-    e = events(spark, sf_dir)
+    e = events(spark, sf_dir, heavy=True)
     item = F.struct("ad_package_name", F.col("ad_id").alias("campaign_id"), "c_id")
     other = F.struct(
         F.when(F.col("k") % 6 != 0, F.col("ad_package_name")).alias("ad_package_name"),
