@@ -31,8 +31,10 @@ def native_extractor(fn, schema: str = "click int, attr_install int, int_feature
 
 
 def encoded_examples(samples: DataFrame, example: Column) -> DataFrame:
-    """One base64 text line per sample of its binary training example."""
-    return samples.select(F.base64(example.cast("binary")).alias("value"))
+    """One base64 text line per sample of its binary training example.
+
+    Long output of ``base64`` may come in MIME lines of 76 characters; the breaks are taken out."""
+    return samples.select(F.translate(F.base64(example.cast("binary")), "\r\n", "").alias("value"))
 
 
 def feature_label_counts(samples: DataFrame, extractor: Extractor) -> DataFrame:
