@@ -6,12 +6,15 @@ import sys
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 # the tasks carry the pooling function, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS_PER_UNIT = 10_000.0
+# Buckets beyond this are refused: the scores are no probabilities then. It bounds what one task
+# pools and what the lookup broadcasts.
+LAST_BUCKET = 1_000_000
 MODEL_SCHEMA = "bucket bigint, n bigint, clicks bigint, prate double, rate double"
 
 
@@ -41,9 +44,15 @@ def isotonic_model(buckets: DataFrame) -> DataFrame:
     The whole pooling is sequential, but its input is one row per score bucket (10,001 for
     probabilities), a number set by the bucket width and not by the data.
     """
+    buckets = buckets.withColumn("bucket", _checked(F.col("bucket")))
     return buckets.groupBy(F.lit(0).alias("_g")).applyInPandas(_pool, MODEL_SCHEMA)
 
 
+def _checked(bucket: Column) -> Column:
+    bad = F.raise_error(F.concat(F.lit("score bucket out of range: "), bucket.cast("string")))
+    return F.when(F.abs(bucket) <= LAST_BUCKET, bucket).otherwise(F.when(bucket.isNotNull(), bad))
+
+
 def _last_bucket(score: Column, strict: bool) -> Column:
     """Greatest whole ``j`` with ``j / 10000 < score`` (``<=`` if not strict), as doubles compare."""
     j = F.floor(score * BUCKETS_PER_UNIT)
@@ -59,17 +68,18 @@ def calibrate(rows: DataFrame, model: DataFrame, score: str = "pctr", match: str
 
     ``match='strict'`` looks at model rows strictly below the score, ``'inclusive'`` also at an equal
     one. The as-of lookup becomes a hash join: each model row is repeated for the buckets up to the
-    next one (at most 10,001 rows for probabilities, so they are broadcast), and a score names its bucket.
+    next one (10,001 rows for probabilities and never more than ``LAST_BUCKET`` allows, so they are
+    broadcast), and a score names its bucket.
     """
     assert match in ("strict", "inclusive")
     score = F.col(score)
-    bucket = F.coalesce("bucket", F.round(F.col("prate") * BUCKETS_PER_UNIT).cast("bigint"))
-    whole = model.agg(F.array_sort(F.collect_list(F.struct(bucket.alias("b"), "rate"))).alias("m"))
-    dense = whole.select("m", F.posexplode("m").alias("i", "r")).select(
-        F.explode(F.sequence("r.b", F.coalesce(F.get("m", F.col("i") + 1)["b"] - 1, F.col("r.b")))).alias("_j"),
-        F.col("r.rate").alias(out),
+    bucket = _checked(F.coalesce("bucket", F.round(F.col("prate") * BUCKETS_PER_UNIT).cast("bigint")))
+    steps = model.select(bucket.alias("b"), "rate")
+    following = steps.withColumn("next", F.lead("b").over(Window.orderBy("b")))  # one small row per model block
+    dense = following.select(
+        F.explode(F.sequence("b", F.coalesce(F.col("next") - 1, F.col("b")))).alias("_j"), F.col("rate").alias(out)
     )
-    ends = whole.select(F.struct(F.get("m", F.lit(0))["b"].alias("first"), F.try_element_at("m", F.lit(-1))["b"].alias("last"))).scalar()
+    ends = steps.select(F.struct(F.min("b").alias("first"), F.max("b").alias("last"))).scalar()
     j = F.least(F.greatest(_last_bucket(score, match == "strict"), ends["first"]), ends["last"])
     return rows.withColumn("_j", F.when(score.isNotNull(), j)).join(F.broadcast(dense), "_j", "left").drop("_j")
 

@@ -36,7 +36,7 @@ def join_hot(
     aggregation on the same keys, which is the usual case for lookups.
     """
     assert how in ("inner", "left")
-    cols = left.columns
+    cols = [f.name for f in left.schema if f.dataType.typeName() not in ("map", "variant")]  # these have no hash
     hot = (key_counts(left, keys) if counts is None else counts).where(F.col("_n") >= hot_rows).select(
         *[F.col(k).alias(f"_h_{k}") for k in keys], F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")
     )
@@ -46,6 +46,8 @@ def join_hot(
         return df.join(F.broadcast(hot), cond, "left").drop(*[f"_h_{k}" for k in keys])
 
     pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    salted = mark(left).withColumn("_salt", F.pmod(F.xxhash64(*cols), pieces).cast("int")).drop("_pieces")
+    # only rows of hot keys are hashed
+    salt = F.when(F.col("_pieces").isNotNull(), F.pmod(F.xxhash64(*cols), F.col("_pieces")).cast("int")).otherwise(0)
+    salted = mark(left).withColumn("_salt", salt).drop("_pieces")
     copies = mark(right).withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_pieces")
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")

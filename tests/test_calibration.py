@@ -61,3 +61,8 @@ def test_bias(spark):
     rows = spark.createDataFrame([(0.2, 0.5, 1), (0.9, 0.2, 0)], "pctr double, pcvr double, is_attr_install int")
     r = cal.calibration_bias(rows, model).first()
     assert (r.mean_score, r.mean_label) == (pytest.approx((0.05 + 0.1) / 2), 0.5)
+
+
+def test_scores_out_of_range_stop(spark):
+    with pytest.raises(Exception, match="out of range"):
+        model_rows(spark, [(1, 10, 2), (2_000_000, 20, 4)])
