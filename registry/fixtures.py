@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -53,11 +55,25 @@ def accu(spark: SparkSession, sf_dir: str, users: bool = False) -> DataFrame:
     )
 
 
-def events(spark: SparkSession, sf_dir: str, heavy: bool = False) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a stream of its files."""
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def scratch(spark: SparkSession) -> str:
+    """New folder for what a query writes: in the shared folder the cluster names, else a temporary one."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{shared}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def events(spark: SparkSession, sf_dir: str, heavy: bool = False, rows: DataFrame | None = None) -> DataFrame:
     """Events with the ad dimensions derived from ``props``; ``heavy`` spreads them for costly row work."""
     k = F.get_json_object("props", "$.k").cast("int")
-    rows = table(spark, sf_dir, "events")
-    return (spread(rows, "event_id") if heavy else rows).withColumn("k", k).select(
+    if rows is None:
+        rows = table(spark, sf_dir, "events")
+        rows = spread(rows, "event_id") if heavy else rows
+    return rows.withColumn("k", k).select(
         "event_id", "user_id", "event_type", "value", "k", "ts",
         F.col("event_id").cast("string").alias("requestid"),
         F.col("user_id").cast("string").alias("beyla_id"),
@@ -157,8 +173,8 @@ def ads_lines(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
 
 
 def logged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature log of the label events, four in five, one ad each; labels without creative have none."""
-    rows = labels(spark, sf_dir).where((F.col("rid").cast("bigint") % 5 != 0) & F.col("c_id").isNotNull())
+    """Feature log of the label events, one ad each; low bids and labels without creative were not logged."""
+    rows = labels(spark, sf_dir).where((F.col("bid_price") >= 11) & F.col("c_id").isNotNull())
     ad = F.struct(
         F.col("ad_id").cast("string").alias("camp_id"), F.col("c_id").cast("string").alias("creative_id"),
         F.col("rid").alias("request_id"), F.struct(F.col("client_ip").alias("ip"), F.col("is_auto_download").alias("auto")).alias("feature"),
@@ -167,8 +183,8 @@ def logged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores logged for the label events, three in four."""
-    rows = labels(spark, sf_dir).where(F.col("rid").cast("bigint") % 4 != 0)
+    """Scores logged for the label events, but for low bids."""
+    rows = labels(spark, sf_dir).where(F.col("bid_price") >= 5)
     k = F.col("is_auto_download")
     return rows.select(
         F.col("rid").alias("request_id"), F.col("c_id").alias("creative_id"), F.col("ad_id").alias("camp_id"),
@@ -178,12 +194,12 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base attributes of customers, nine in ten."""
+    """Base attributes of customers whose account is not overdrawn."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     key = F.col("c_custkey")
-    return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).where(key % 10 != 0).select(
+    return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).where(F.col("c_acctbal") >= 0).select(
         key.cast("string").alias("user_id"),
         F.when(key % 4 != 0, (20 + key % 50).cast("string")).alias("age"),
         F.when(key % 3 != 0, F.when(key % 2 == 0, "m").otherwise("f")).alias("gender"),
@@ -196,7 +212,7 @@ def user_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(F.col("event_type") == "view", "app_use").when(F.col("event_type") == "signup", "app_install") \
         .when(F.col("event_type") == "click", "ad_app_click").when(F.col("event_type") == "purchase", "ad_app_install") \
         .otherwise(F.col("event_type"))
-    e = events(spark, sf_dir).where((F.col("event_type") != "signup") | (F.col("user_id") % 7 != 0))
+    e = events(spark, sf_dir).where((F.col("event_type") != "signup") | (F.col("value") < 5))  # some users have no signup
     return e.groupBy(F.col("beyla_id").alias("user_id"), kind.alias("action_type")).agg(
         F.collect_set("ad_package_name").alias("app_list")
     )
@@ -238,9 +254,9 @@ def rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event messages in their envelope, one or two items each; every 50th is malformed."""
-    e = events(spark, sf_dir, heavy=True)
+def stream_lines(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Event messages in their envelope, one or two items each; those of a low value are malformed."""
+    e = events(spark, sf_dir, heavy=True, rows=rows)
     item = F.struct("ad_package_name", F.col("ad_id").alias("campaign_id"), "c_id")
     other = F.struct(
         F.when(F.col("k") % 6 != 0, F.col("ad_package_name")).alias("ad_package_name"),
@@ -254,5 +270,5 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("k") % 2 == 0, F.array(item, other)).otherwise(F.array(item)).alias("params"),
     ))
     return e.select(
-        F.when(F.col("event_id") % 50 == 0, "{broken").otherwise(F.to_json(F.struct(message.alias("message")))).alias("value"), "ts"
+        F.when(F.col("value") < 1, "{broken").otherwise(F.to_json(F.struct(message.alias("message")))).alias("value"), "ts"
     )

@@ -87,7 +87,7 @@ BASE = """base AS (
     coalesce(CASE WHEN c_custkey % 4 <> 0 THEN cast(20 + c_custkey % 50 AS varchar) END, '') AS age,
     coalesce(CASE WHEN c_custkey % 3 <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'm' ELSE 'f' END END, '') AS gender,
     n_name AS country, r_name AS province, c_mktsegment AS city
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_custkey % 10 <> 0)"""
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal >= 0)"""
 
 
 def app_list(action: str, restricted: bool) -> str:
@@ -97,7 +97,7 @@ def app_list(action: str, restricted: bool) -> str:
 
 
 PROFILE = f"""acts AS (SELECT beyla_id AS user_id, {ACTION} AS action_type, ad_package_name FROM ev
-  WHERE event_type <> 'signup' OR user_id % 7 <> 0),
+  WHERE event_type <> 'signup' OR value < 5),
 users AS (SELECT user_id FROM base UNION SELECT user_id FROM acts WHERE action_type IS NOT NULL),
 prof AS (
   SELECT u.user_id, b.age, b.gender, b.country, b.province, b.city, b.user_id IS NOT NULL AS has_base,
@@ -175,7 +175,7 @@ WHERE {where}"""
 
 LOGGED = """logged AS (SELECT ad_id, c_id AS creative_id, rid AS request_id,
   '{"ip":"' || client_ip || '","auto":' || is_auto_download || '}' AS feature
-  FROM lab WHERE cast(rid AS bigint) % 5 <> 0 AND c_id IS NOT NULL)"""
+  FROM lab WHERE bid_price >= 11 AND c_id IS NOT NULL)"""
 
 # feature analysis
 
@@ -286,7 +286,7 @@ STREAM = """items AS (
   UNION ALL SELECT *, CASE WHEN k % 6 <> 0 THEN ad_package_name END, ad_id + 1 FROM ev WHERE k % 2 = 0)
 SELECT event_name, beyla_id, package_name, CASE WHEN k % 4 <> 0 THEN pos_id ELSE '' END AS pos_id, pkg AS ad_package_name,
   cast(camp AS varchar) AS ad_id, cast(c_id AS varchar) AS c_id
-FROM items WHERE event_id % 50 <> 0 AND k % 11 <> 0 AND event_type IN ('view', 'click') AND package_name IN ('app.one', 'app.two')
+FROM items WHERE value >= 1 AND k % 11 <> 0 AND event_type IN ('view', 'click') AND package_name IN ('app.one', 'app.two')
   AND k % 9 <> 0 AND pkg IS NOT NULL AND camp <> 0 AND c_id <> 0"""
 
 SNAPSHOT_ROWS = "SELECT dim_set, dim_key, window_tag, imp, click, attr_install FROM ad_long"
@@ -361,7 +361,7 @@ UNION ALL SELECT 'ad_id#' || p_partkey, NULL, NULL, cast(p_size - 10 AS bigint)
 FROM lab JOIN logged ON rid = request_id AND lab.ad_id = logged.ad_id AND lab.c_id = creative_id WHERE package_name IN {PACKAGES}""",
     "scored_labels": with_(EVENTS, LABELS) + """SELECT user_id AS beyla_id, ad_package_name, cast(ad_id AS varchar) AS ad_id, cast(c_id AS varchar) AS c_id,
   is_auto_download / 4 AS pctr, ad_id / 64 AS pcvr, bid_price, is_click, is_attr_install
-FROM lab WHERE package_name = 'app.two' AND cast(rid AS bigint) % 4 <> 0 AND c_id IS NOT NULL""",
+FROM lab WHERE package_name = 'app.two' AND bid_price >= 5 AND c_id IS NOT NULL""",
     "feature_label_counts": with_(EVENTS, FEATURE_ROWS) + "SELECT * FROM feature_counts",
     "mi_ctr": mi_sql("click"),
     "mi_cvr": mi_sql("install", "click > 0"),
@@ -381,6 +381,7 @@ FROM lab WHERE package_name = 'app.two' AND cast(rid AS bigint) % 4 <> 0 AND c_i
     "auc_signed": auc_sql("margin", "is_attr_install"),
     "bid_weighted_auc": BID_AUC,
     "stream_events": with_(EVENTS, STREAM),
+    "stream_events_live": with_(EVENTS, STREAM),
     "rolling_24h": with_(EVENTS) + """, spread AS (SELECT unnest(generate_series(1, 24)) AS h)
 SELECT strftime(date_trunc('hour', ts) + to_hours(h), '%Y%m%d%H') AS end_hour, ad_id, count(*) AS n FROM ev, spread GROUP BY 1, 2""",
     "kv_export": with_(ACCU, USER_LONG) + f"""SELECT 'nt:ads:user_counter:' || user_id AS entity_key, 0 AS part,

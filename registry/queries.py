@@ -309,6 +309,18 @@ def stream_events(spark, d):
     return stream.decode_events(fx.stream_lines(spark, d), ("app.one", "app.two"))
 
 
+def stream_events_live(spark, d):
+    """The same decoding run as a stream over the event table, file by file until all is read."""
+    lines = fx.stream_lines(spark, d, fx.event_stream(spark, d))
+    root = fx.scratch(spark)
+    query = (
+        stream.decode_events(lines, ("app.one", "app.two")).writeStream.format("parquet")
+        .option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/rows")
+
+
 def rolling_24h(spark, d):
     return stream.rolling_day_counts(fx.events(spark, d), ["ad_id"]).select(hour_of("window_end").alias("end_hour"), "ad_id", "n")
 
@@ -353,5 +365,5 @@ QUERIES = {f.__name__: f for f in (
     index_allocation, index_allocation_compact, encoded_examples,
     ctr_buckets, isotonic_model, calibrated_scores, calibrated_scores_inclusive, calibration_bias,
     auc, auc_signed, bid_weighted_auc,
-    stream_events, rolling_24h, kv_export, kv_profile_export, kv_lookup, validate_export, artefact_manifest,
+    stream_events, stream_events_live, rolling_24h, kv_export, kv_profile_export, kv_lookup, validate_export, artefact_manifest,
 )}
