@@ -10,7 +10,7 @@ from adfeat.config import MAIN, Variant
 from adfeat.functions.cells import cell_type
 from adfeat.functions.keys import dim_text, keyed_sets
 from adfeat.operators.counters import counter_cells
-from adfeat.operators.skew import HOT_ROWS, join_hot, key_counts
+from adfeat.operators.skew import HOT_ROWS, counted_keys, join_hot, key_counts
 
 AD_DIMS = ("package_name", "pos_id", "ad_id", "ad_package_name", "ad_package_category", "c_id")
 USER_AD_DIMS = ("pos_id", "ad_id", "ad_package_name", "ad_package_category", "c_id")
@@ -38,10 +38,11 @@ def _slots(tuples: DataFrame, counters: DataFrame, sets, owner: tuple[str, ...],
     cols = tuples.columns
     wanted = tuples.select(*cols, F.explode(keyed_sets(sets, "t_")).alias("s")).select(*cols, "s.*")
     on = [*[f"t_{o}" for o in owner], "dim_set", "dim_key"]
-    asked = wanted.select(*on).distinct().withColumnsRenamed({f"t_{o}": o for o in owner})
+    counts = key_counts(wanted, on)
+    asked = counted_keys(counts).withColumnsRenamed({f"t_{o}": o for o in owner})
     needed = counters.join(asked, [*owner, "dim_set", "dim_key"], "left_semi")
     cells = counter_cells(needed, variant, by=owner).withColumnsRenamed({o: f"t_{o}" for o in owner})
-    found = join_hot(wanted, cells, on, "inner", hot_rows)
+    found = join_hot(wanted, cells, on, "inner", hot_rows, counts)
     folded = found.groupBy(*cols).agg(F.map_from_entries(F.collect_list(F.struct("dim_set", "cell"))).alias("m"))
     return folded.select(*cols, *[F.col("m")[s.name].alias(s.slot) for s in sets])
 
@@ -72,10 +73,8 @@ def assemble_samples(
     if nation:
         ad_counters = ad_counters.withColumn("nation", dim_text("nation"))
 
-    users = _slots(
-        by_user_ad.where(F.col("t_user_id").isNotNull()).drop("_n"), user_counters, variant.user_sets, ("user_id",), variant, hot_rows
-    )
-    ads = _slots(by_ad.drop("_n"), ad_counters, variant.ad_sets, nation, variant, hot_rows)
+    users = _slots(counted_keys(by_user_ad), user_counters, variant.user_sets, ("user_id",), variant, hot_rows)
+    ads = _slots(counted_keys(by_ad), ad_counters, variant.ad_sets, nation, variant, hot_rows)
     owners = profiles.select(F.col("user_id").alias("t_user_id"), "userBase", "userBehavior")
 
     joined = join_hot(rows, owners, ["t_user_id"], "left", hot_rows, by_user)

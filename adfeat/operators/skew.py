@@ -15,6 +15,15 @@ def key_counts(df: DataFrame, keys: list[str], weight: str | None = None) -> Dat
     return df.groupBy(*keys).agg(n.alias("_n"))
 
 
+def counted_keys(counts: DataFrame) -> DataFrame:
+    """The keys of :func:`key_counts`.
+
+    The filter holds for every key. It keeps the counts in the plan, so that this reader and the one
+    that looks for hot keys share one shuffle; without it Spark would plan a second one of bare keys.
+    """
+    return counts.where(F.col("_n") > 0).drop("_n")
+
+
 def join_hot(
     left: DataFrame,
     right: DataFrame,

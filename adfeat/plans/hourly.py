@@ -42,9 +42,13 @@ def project_install_hour(spark: SparkSession, log_root: str, out_root: str, hour
 
 def recent_events(spark: SparkSession, imp_click_root: str, install_root: str, excluded_package: str, hours: int = 24) -> tuple[DataFrame, DataFrame]:
     """Impressions with clicks, and installs, of the newest ``hours`` partitions of each."""
-    shows = stores.read_tsv(spark, imp_click_root, schemas.IMP_CLICK_TSV + ", hour string")
-    installs = stores.read_tsv(spark, install_root, schemas.INSTALL_TSV + ", hour string")
-    return logs.last_partitions(shows, hours), project.exclude_package(logs.last_partitions(installs, hours), excluded_package)
+
+    def newest(root: str, schema: str) -> DataFrame:
+        rows = stores.read_tsv(spark, root, schema + ", hour string")
+        return logs.last_partitions(rows, hours, values=logs.partition_values(spark, root))
+
+    shows, installs = newest(imp_click_root, schemas.IMP_CLICK_TSV), newest(install_root, schemas.INSTALL_TSV)
+    return shows, project.exclude_package(installs, excluded_package)
 
 
 def refresh_counters_hour(

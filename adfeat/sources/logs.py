@@ -24,13 +24,9 @@ def read_day_json(spark: SparkSession, root: str, day: str, schema: str) -> Data
 def read_hour_table(spark: SparkSession, root: str, hour: str, **partitions: str) -> DataFrame:
     """One hour of a Parquet log partitioned by ``dt`` and ``hour`` (and more, e.g. ``flag``).
 
-    Partition values are compared as text, so ``dt=20240101/hour=05`` is found whatever Spark infers."""
-    df = spark.read.option("inferSchema", "false").parquet(root)
-    wanted = {"dt": hour[:8], "hour": hour[8:], **partitions}
-    for name, value in wanted.items():
-        typed = F.lit(value).cast(df.schema[name].dataType)
-        df = df.where(F.col(name) == typed)
-    return df
+    Only that directory is listed; the partition columns stay available."""
+    levels = {"dt": hour[:8], "hour": hour[8:], **partitions}
+    return spark.read.option("basePath", root).parquet("/".join([root, *[f"{k}={v}" for k, v in levels.items()]]))
 
 
 def scan_table(spark: SparkSession, name: str, day: str | None = None) -> DataFrame:
@@ -39,12 +35,22 @@ def scan_table(spark: SparkSession, name: str, day: str | None = None) -> DataFr
     return df if day is None else df.where(F.col("dt") == F.lit(day).cast(df.schema["dt"].dataType))
 
 
-def latest_snapshot(df: DataFrame, column: str = "dt") -> DataFrame:
-    """Rows of the greatest partition value; the value is a scalar subquery, so it prunes partitions."""
-    return df.where(F.col(column) == df.agg(F.max(column)).scalar())
+def partition_values(spark: SparkSession, root: str, column: str = "hour") -> DataFrame:
+    """Partition values that exist under ``root``, from a listing of the files; none is opened."""
+    return spark.read.format("binaryFile").load(root).select(F.col(column).cast("string").alias(column)).distinct()
 
 
-def last_partitions(df: DataFrame, n: int = 24, column: str = "hour") -> DataFrame:
-    """Rows of the ``n`` greatest partition values that exist (gaps are not counted)."""
-    newest = df.where(F.col(column).isNotNull()).select(column).distinct().orderBy(F.col(column).desc()).limit(n)
+def latest_snapshot(df: DataFrame, column: str = "dt", values: DataFrame | None = None) -> DataFrame:
+    """Rows of the greatest partition value; the value is a scalar subquery, so it prunes partitions.
+
+    ``values`` (:func:`partition_values`) spares a pass over ``df``."""
+    return df.where(F.col(column) == (df if values is None else values).agg(F.max(column)).scalar())
+
+
+def last_partitions(df: DataFrame, n: int = 24, column: str = "hour", values: DataFrame | None = None) -> DataFrame:
+    """Rows of the ``n`` greatest partition values that exist (gaps are not counted).
+
+    ``values`` (:func:`partition_values`) spares a pass over ``df``; text files would have to be read for it."""
+    source = df if values is None else values
+    newest = source.where(F.col(column).isNotNull()).select(column).distinct().orderBy(F.col(column).desc()).limit(n)
     return df.where(F.col(column) >= newest.agg(F.min(column)).scalar())
