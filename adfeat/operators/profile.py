@@ -73,7 +73,9 @@ def package_categories(apps: DataFrame) -> DataFrame:
 
 def recent_creatives(creatives: DataFrame, as_of: dt.datetime, days: int = 4) -> DataFrame:
     """Creatives created less than ``days`` before ``as_of``; the bound is a constant and can be pushed to the source."""
-    return creatives.where(F.col("create_time") > F.lit(as_of - dt.timedelta(days=days)).cast("timestamp_ntz"))
+    # as text, or the session time zone would shift it
+    since = F.lit((as_of - dt.timedelta(days=days)).isoformat(sep=" ")).cast("timestamp_ntz")
+    return creatives.where(F.col("create_time") > since)
 
 
 def capped_campaigns(campaigns: DataFrame) -> DataFrame:

@@ -115,6 +115,14 @@ def merged_views(merged: DataFrame, variant: Variant = MAIN) -> DataFrame:
     )
 
 
+def ad_info_documents(info: DataFrame) -> DataFrame:
+    """``(info_key, value)`` with the entry as JSON text; fields an entry does not have are left out."""
+    entry = F.struct(
+        "category", F.col("creative_create_time").alias("creativeCreateTime"), F.col("day_attr_install_cap").alias("dayAttrInstallCap")
+    )
+    return info.select("info_key", F.to_json(entry).alias("value"))
+
+
 def manifest(lines: DataFrame, column: str = "value", by: tuple[str, ...] = ()) -> DataFrame:
     """Row count and order-independent md5 checksum of a text artefact, per ``by`` group.
 

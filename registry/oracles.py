@@ -44,13 +44,13 @@ def quoted(col: str) -> str:
 
 # recent events
 
-LAST_24 = "(SELECT hour FROM (SELECT DISTINCT hour FROM {t}) ORDER BY hour DESC LIMIT 24)"
+LAST_24 = "(SELECT hour FROM (SELECT DISTINCT hour FROM ev WHERE {w}) ORDER BY hour DESC LIMIT 24)"
 RECENT = f"""recent AS (
   SELECT package_name, pos_id, ad_package_name, ad_id, c_id, CASE event_name WHEN 'AD_CpiShow' THEN 'imp' ELSE 'click' END AS kind, hour
-  FROM imp_click WHERE hour IN {LAST_24.format(t='imp_click')}
+  FROM imp_click WHERE hour IN {LAST_24.format(w='true')}
   UNION ALL
   SELECT package_name, pos_id, ad_package_name, ad_id, c_id, 'attr_install', hour
-  FROM installs WHERE package_name <> 'app.excluded' AND hour IN {LAST_24.format(t='installs')})"""
+  FROM installs WHERE package_name <> 'app.excluded' AND hour IN {LAST_24.format(w="event_type = 'purchase'")})"""
 COUNTS = "count(*) FILTER (kind = 'imp') AS imp, count(*) FILTER (kind = 'click') AS click, count(*) FILTER (kind = 'attr_install') AS attr_install"
 RECOUNT = "recount AS (" + rollup("(SELECT *, '1d' AS window_tag FROM recent)", RT_SETS, ["window_tag"], COUNTS) + ")"
 BJ = """bj AS (SELECT 'Bj1d' AS window_tag, 'ad_id' AS dim_set, cast(ad_id AS varchar) AS dim_key, cast(0 AS bigint) AS imp,
@@ -289,6 +289,12 @@ SELECT event_name, beyla_id, package_name, CASE WHEN k % 4 <> 0 THEN pos_id ELSE
 FROM items WHERE value >= 1 AND k % 11 <> 0 AND event_type IN ('view', 'click') AND package_name IN ('app.one', 'app.two')
   AND k % 9 <> 0 AND pkg IS NOT NULL AND camp <> 0 AND c_id <> 0"""
 
+AD_INFO = """SELECT p_brand AS info_key, max(p_type) AS category, cast(NULL AS bigint) AS creative_create_time,
+  cast(NULL AS bigint) AS day_attr_install_cap FROM part GROUP BY p_brand
+UNION ALL SELECT 'c_id#' || s_suppkey, NULL, cast(epoch(TIMESTAMP '2024-01-30' - to_days(cast(s_suppkey AS integer))) AS bigint), NULL
+FROM supplier WHERE s_suppkey < 3
+UNION ALL SELECT 'ad_id#' || p_partkey, NULL, NULL, cast(p_size - 10 AS bigint) FROM part WHERE p_size > 10"""
+
 SNAPSHOT_ROWS = "SELECT dim_set, dim_key, window_tag, imp, click, attr_install FROM ad_long"
 ENTRY_EXPIRY = 1_706_659_200 + 259_200
 
@@ -309,7 +315,7 @@ FROM accu WHERE window_tag = '7d'""",
   cast(ad_id AS varchar) AS ad_id, cast(c_id AS varchar) AS c_id FROM installs WHERE package_name IN {PACKAGES}""",
     "imp_click_tsv": with_(EVENTS, IMP_CLICK) + """SELECT concat_ws(chr(9), requestid, beyla_id, country, pos_id, package_name, event_name,
   ad_package_name, ad_id, c_id) AS value FROM imp_click""",
-    "last_24_partitions": with_(EVENTS) + f"SELECT event_id, hour FROM ev WHERE hour IN {LAST_24.format(t='ev')}",
+    "last_24_partitions": with_(EVENTS) + f"SELECT event_id, hour FROM ev WHERE hour IN {LAST_24.format(w='true')}",
     "latest_snapshot": """SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d') AS dt FROM orders
 WHERE strftime(o_orderdate, '%Y%m%d') = (SELECT max(strftime(o_orderdate, '%Y%m%d')) FROM orders)""",
     "source_hours": """SELECT event_id, strftime(ts, '%Y%m%d%H') AS out_hour, strftime(ts + INTERVAL 8 HOURS, '%Y%m%d%H') AS log_hour FROM events""",
@@ -342,11 +348,10 @@ FROM (SELECT *, cast(imp AS double) AS n, attr_install / nullif(cast(imp AS doub
     "ascii_guard": """SELECT conv_id, turn, CASE WHEN strlen(text) = length(text) THEN text ELSE '' END AS kept,
   CASE WHEN unicode(text) < 128 THEN substr(text, 1, 1) ELSE '' END AS head FROM conversations""",
     "package_category": "SELECT p_brand AS package_name, max(p_type) AS category FROM part GROUP BY p_brand",
-    "adinfo_overlay": """SELECT p_brand AS info_key, max(p_type) AS category, cast(NULL AS bigint) AS creative_create_time,
-  cast(NULL AS bigint) AS day_attr_install_cap FROM part GROUP BY p_brand
-UNION ALL SELECT 'c_id#' || s_suppkey, NULL, cast(epoch(TIMESTAMP '2024-01-30' - to_days(cast(s_suppkey AS integer))) AS bigint), NULL
-FROM supplier WHERE s_suppkey < 3
-UNION ALL SELECT 'ad_id#' || p_partkey, NULL, NULL, cast(p_size - 10 AS bigint) FROM part WHERE p_size > 10""",
+    "adinfo_overlay": AD_INFO,
+    "adinfo_documents": f"""SELECT info_key, CASE WHEN category IS NOT NULL THEN '{{"category":"' || category || '"}}'
+  WHEN creative_create_time IS NOT NULL THEN '{{"creativeCreateTime":' || creative_create_time || '}}'
+  ELSE '{{"dayAttrInstallCap":' || day_attr_install_cap || '}}' END AS value FROM ({AD_INFO})""",
     "train_sample_lookup": sample_sql(
         (ACCU, AD_LONG, USER_LONG, EVENTS, LABELS, BASE, PROFILE, PROFILE_JSON), AD_SETS_ALL, "attrInstall", False,
         f"lab.package_name IN {PACKAGES}", "prof_json",

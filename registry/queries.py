@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adfeat.config import MAIN, NATION, SmoothingRules, USER_PROFILE_KEY_PREFIX
+from adfeat.config import MAIN, NATION, SmoothingRules, USER_PROFILE_KEY_PREFIX, dim_sets
 from adfeat.functions.keys import ascii_or_empty
 from adfeat.functions.timing import hour_of, local_day_hours, shift_hour
 from adfeat.operators import calibration as cal
@@ -47,8 +47,13 @@ def counter_documents_read(spark, d):
     return stores.counters_of_documents(ad_counter_documents(spark, d))
 
 
+def _only(*sets: str):
+    """Variant with a few dimension sets: what a reader of a snapshot split by set would touch."""
+    return MAIN.with_(ad_sets=dim_sets(sets))
+
+
 def global_totals(spark, d):
-    return counters.window_totals(ad_counter_rollup(spark, d))
+    return counters.window_totals(counters.ad_counters(fx.accu(spark, d), _only("ad_package_category")))
 
 
 # recent events and snapshot refresh
@@ -66,13 +71,11 @@ def imp_click_tsv(spark, d):
 
 
 def _recent(spark, d):
+    """Impressions with clicks, and installs, of the newest 24 hours of each log."""
     packages = (*fx.PACKAGES, fx.EXCLUDED_PACKAGE)
-    shows = project.project_imp_click(fx.cpi_log(spark, d), fx.PACKAGES, keep=("hour",))
-    installs = project.project_install(fx.install_log(spark, d), packages, keep=("hour",))
-    return (
-        logs.last_partitions(shows),
-        project.exclude_package(logs.last_partitions(installs), fx.EXCLUDED_PACKAGE),
-    )
+    shows = project.project_imp_click(logs.last_partitions(fx.cpi_log(spark, d)), fx.PACKAGES, keep=("hour",))
+    installs = project.project_install(logs.last_partitions(fx.install_log(spark, d)), packages, keep=("hour",))
+    return shows, project.exclude_package(installs, fx.EXCLUDED_PACKAGE)
 
 
 def last_24_partitions(spark, d):
@@ -109,8 +112,9 @@ def counter_refresh(spark, d):
 
 def _merged(spark, d):
     accu = fx.accu(spark, d)
-    day = counters.ad_counters(accu.where(F.col("ad_package_name") != "Brand#1"))
-    return refresh.merge_smooth(day, counters.ad_counters(accu), RULES)
+    sets = _only(*refresh.SMOOTHED_SETS)
+    day = counters.ad_counters(accu.where(F.col("ad_package_name") != "Brand#1"), sets)
+    return refresh.merge_smooth(day, counters.ad_counters(accu, sets), RULES)
 
 
 def counter_merge_smooth(spark, d):
@@ -176,6 +180,10 @@ def adinfo_overlay(spark, d):
     return profile.ad_info(package_category(spark, d), fx.creatives(spark, d), fx.campaigns(spark, d), fx.NOW)
 
 
+def adinfo_documents(spark, d):
+    return export.ad_info_documents(adinfo_overlay(spark, d))
+
+
 # training samples
 
 def _sample_labels(spark, d):
@@ -359,7 +367,7 @@ QUERIES = {f.__name__: f for f in (
     project_imp_click, project_install, imp_click_tsv, last_24_partitions, latest_snapshot, source_hours,
     hourly_recount, bj_day_install, counter_refresh, counter_merge_smooth, merged_views, wilson_scores,
     flatten_mixer_log, flatten_rec_log, flatten_req_ads, flatten_train_feature,
-    user_profile, user_profile_base, ascii_guard, package_category, adinfo_overlay,
+    user_profile, user_profile_base, ascii_guard, package_category, adinfo_overlay, adinfo_documents,
     train_sample_lookup, train_sample_nation, train_sample_logged, scored_labels,
     feature_label_counts, mi_ctr, mi_cvr, chi_square_stat, chi_square_uncorrected, chi_square_test,
     index_allocation, index_allocation_compact, encoded_examples,
