@@ -138,18 +138,23 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One response document per order, its line items as scored ads; some orders have none."""
-    ads = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct(
-        F.col("l_returnflag").alias("app_id"), (F.col("l_partkey") % 50).alias("camp_id"),
-        F.col("l_suppkey").alias("creative_id"), F.col("l_extendedprice").alias("ecpm"),
-        F.concat(F.lit("spec"), F.col("l_linenumber").cast("string")).alias("model_spec"),
-    )).alias("res_model"))
-    o = spread(table(spark, sf_dir, "orders"), "o_orderkey").join(ads, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    exp = F.when(F.col("o_orderkey") % 3 != 0, F.array(F.concat(F.lit("e"), (F.col("o_orderkey") % 5).cast("string")), F.lit("x")))
-    return o.select(F.to_json(F.struct(
-        F.col("o_orderkey").cast("string").alias("request_id"), F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("o_orderstatus").alias("pos_id"), epoch_seconds("o_orderdate").alias("timestamp"), exp.alias("hit_exp"),
-        F.when(F.col("res_model").isNotNull(), F.struct("res_model")).alias("model_results"),
+    """One response document per line item with one or two scored ads; every seventh position has none."""
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+    number = F.col("l_linenumber")
+
+    def ad(i: int):
+        return F.struct(
+            F.col("l_returnflag").alias("app_id"), (F.col("l_partkey") % 50 + i).alias("camp_id"),
+            F.col("l_suppkey").alias("creative_id"), (F.col("l_extendedprice") + i).alias("ecpm"),
+            F.concat(F.lit("spec"), number.cast("string")).alias("model_spec"),
+        )
+
+    ads = F.when(number % 2 == 0, F.array(ad(0), ad(1))).otherwise(F.array(ad(0)))
+    return line.select(F.to_json(F.struct(
+        F.col("l_orderkey").cast("string").alias("request_id"), F.col("l_partkey").cast("string").alias("user_id"),
+        F.col("l_linestatus").alias("pos_id"), epoch_seconds("l_shipdate").alias("timestamp"),
+        F.when(number > 1, F.array(F.concat(F.lit("e"), number.cast("string")), F.lit("x"))).alias("hit_exp"),
+        F.when(number < 7, F.struct(ads.alias("res_model"))).alias("model_results"),
     )).alias("value"))
 
 

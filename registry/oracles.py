@@ -267,11 +267,11 @@ w AS (SELECT *, coalesce(sum(p) OVER o, 0) AS p_below, coalesce(sum(q) OVER o, 0
 t AS (SELECT sum(pb * (q_below + q / 2)) AS good, sum(qb * (p_below + p / 2)) AS bad FROM w)
 SELECT round(good / (good + bad), 9) AS auc FROM t"""
 
-MIXER = """SELECT cast(o_orderkey AS varchar) AS request_id, CASE WHEN o_orderkey % 3 <> 0 THEN 'e' || (o_orderkey % 5) || ',x' ELSE '' END AS exp_ids,
-  cast(o_custkey AS varchar) AS user_id, o_orderstatus AS pos_id, cast(floor(epoch(o_orderdate)) AS bigint) AS timestamp,
-  l_returnflag AS app_id, cast(l_partkey % 50 AS varchar) AS camp_id, cast(l_suppkey AS varchar) AS creative_id,
-  l_extendedprice AS ecpm, 'spec' || l_linenumber AS pctcvr
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
+MIXER = """SELECT cast(l_orderkey AS varchar) AS request_id, CASE WHEN l_linenumber > 1 THEN 'e' || l_linenumber || ',x' ELSE '' END AS exp_ids,
+  cast(l_partkey AS varchar) AS user_id, l_linestatus AS pos_id, cast(floor(epoch(l_shipdate)) AS bigint) AS timestamp,
+  l_returnflag AS app_id, cast(l_partkey % 50 + i AS varchar) AS camp_id, cast(l_suppkey AS varchar) AS creative_id,
+  l_extendedprice + i AS ecpm, 'spec' || l_linenumber AS pctcvr
+FROM lineitem, (SELECT unnest([0, 1]) AS i) WHERE l_linenumber < 7 AND (i = 0 OR l_linenumber % 2 = 0)"""
 
 
 def ads_json(with_feature: bool) -> str:
