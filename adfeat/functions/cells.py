@@ -27,7 +27,7 @@ def cell(install_field: str) -> Column:
     names = dict(zip(MEASURES, ("imp", "click", install_field)))
     slots = []
     for w in WINDOW_TAGS:
-        counts = ", ".join(f"'{names[m]}', nullif({_col(w, m)}, 0L)" for m in MEASURES)
+        counts = ", ".join(f"'{names[m]}', nullif(greatest({_col(w, m)}, 0L), 0L)" for m in MEASURES)
         slots.append(f"'{SLOT_PREFIX}{w}', CASE WHEN {_col(w, 'imp')} IS NOT NULL THEN named_struct({counts}) END")
     return F.expr(f"named_struct({', '.join(slots)})")
 

@@ -50,6 +50,17 @@ def ad_counters(accu: DataFrame, variant: Variant = MAIN) -> DataFrame:
     return rollup(accu, variant.ad_sets, by, measure_sums())
 
 
+def user_counter_rows(accu: DataFrame, variant: Variant = MAIN) -> DataFrame:
+    """One row per input row and user dimension set, not yet added up: ``(user_id, window_tag, dim_set, dim_key, measures)``.
+
+    Whatever sums counters up itself (:func:`counter_cells`, and with it samples and published
+    entries) may take these rows in place of :func:`user_counters` and save a shuffle.
+    """
+    rows = accu.select("user_id", "window_tag", *MEASURES, F.explode(keyed_sets(variant.user_sets)).alias("s"))
+    out = rows.select("user_id", "window_tag", "s.dim_set", "s.dim_key", *MEASURES)
+    return out.where(is_ascii("dim_key")) if variant.ascii_dims_only else out
+
+
 def user_counters(accu: DataFrame, variant: Variant = MAIN) -> DataFrame:
     """User counters ``(user_id, window_tag, dim_set, dim_key, imp, click, attr_install)``.
 
@@ -57,11 +68,7 @@ def user_counters(accu: DataFrame, variant: Variant = MAIN) -> DataFrame:
     and the key text may as well be built first: the rows shuffled are narrower then, and a job that
     reads the counters twice shares the shuffle (Spark does not recognise equal grouping sets).
     """
-    rows = accu.select("user_id", "window_tag", *MEASURES, F.explode(keyed_sets(variant.user_sets)).alias("s"))
-    out = rows.groupBy("user_id", "window_tag", F.col("s.dim_set").alias("dim_set"), F.col("s.dim_key").alias("dim_key")).agg(
-        *measure_sums()
-    )
-    return out.where(is_ascii("dim_key")) if variant.ascii_dims_only else out
+    return user_counter_rows(accu, variant).groupBy("user_id", "window_tag", "dim_set", "dim_key").agg(*measure_sums())
 
 
 def event_counters(imp_click: DataFrame, installs: DataFrame, variant: Variant = MAIN) -> DataFrame:
@@ -91,7 +98,7 @@ def local_day_installs(installs: DataFrame, begin_hour: str, end_hour: str) -> D
 
 
 def counter_cells(counters: DataFrame, variant: Variant = MAIN, by: tuple[str, ...] = ()) -> DataFrame:
-    """One row per key with all its window slots in a nested ``cell``."""
+    """One row per key with all its window slots in a nested ``cell``; several rows of a slot are added up."""
     keys = [*by, "dim_set", "dim_key"]
     return counters.groupBy(*keys).agg(*window_sums()).select(*keys, cell(variant.install_field).alias("cell"))
 

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from adfeat.config import AD_PLATFORM
 from adfeat.functions.timing import epoch_seconds, hour_of
@@ -17,8 +18,15 @@ ALLOWED_APPS = ("pkg0", "pkg1", "pkg2", "pkg3")
 NOW = dt.datetime(2024, 1, 31)
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is inferred once per process, later reads start no job for it."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:

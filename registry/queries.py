@@ -192,7 +192,8 @@ def _sample_labels(spark, d):
 
 def train_sample_lookup(spark, d):
     out = samples.assemble_samples(
-        _sample_labels(spark, d), ad_counter_rollup(spark, d), user_counter_rollup(spark, d), _profiles(spark, d), MAIN, ("rid",)
+        _sample_labels(spark, d), ad_counter_rollup(spark, d), counters.user_counter_rows(fx.accu(spark, d, users=True)),
+        _profiles(spark, d), MAIN, ("rid",),
     )
     return out.select("rid", samples.sample_json().alias("sample"))
 
@@ -334,7 +335,7 @@ def rolling_24h(spark, d):
 
 
 def kv_export(spark, d):
-    return export.user_counter_entries(user_counter_rollup(spark, d), PUBLISHED_AT)
+    return export.user_counter_entries(counters.user_counter_rows(fx.accu(spark, d, users=True)), PUBLISHED_AT)
 
 
 def kv_profile_export(spark, d):

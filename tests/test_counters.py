@@ -88,6 +88,11 @@ def test_entities_read_back(spark, rows_of):
     assert rows_of(counters_of_entities(entries).select(cols)) == rows_of(long.select(cols))
 
 
+def test_cells_add_up_rows(spark, rows_of):
+    summed = counters.counter_cells(counters.user_counters(accu(spark)), by=("user_id",))
+    assert rows_of(counters.counter_cells(counters.user_counter_rows(accu(spark)), by=("user_id",))) == rows_of(summed)
+
+
 def test_event_counters(spark):
     dims = "package_name string, pos_id string, ad_id string, ad_package_name string, c_id string"
     shows = spark.createDataFrame(
