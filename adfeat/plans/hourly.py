@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from adfeat import schemas
-from adfeat.config import MAIN, Variant
 from adfeat.functions.timing import local_day_hours
 from adfeat.operators import counters, flatten, project, refresh
 from adfeat.sinks import export
@@ -59,14 +58,13 @@ def refresh_counters_hour(
     out_path: str,
     now: dt.datetime,
     excluded_package: str,
-    variant: Variant = MAIN,
 ) -> DataFrame:
     """Write the daily ``snapshot`` brought up to date with recent events; returns the rows a consumer would refuse.
 
     Always starts from the daily snapshot, so hourly additions do not pile up."""
     shows, installs = recent_events(spark, imp_click_root, install_root, excluded_package)
     fresh = refresh.refresh_snapshot(
-        snapshot, counters.event_counters(shows, installs, variant), counters.local_day_installs(installs, *local_day_hours(now))
+        snapshot, counters.event_counters(shows, installs), counters.local_day_installs(installs, *local_day_hours(now))
     )
     fresh.write.mode("errorifexists").parquet(out_path)
     return export.invalid_counters(spark.read.parquet(out_path))
