@@ -214,6 +214,28 @@ SELECT fea_k AS feature, k.n_values, CASE WHEN min(ny) = 0 OR k.n_values = 1 THE
 FROM x JOIN k USING (fea_k) GROUP BY fea_k, k.n_values"""
 
 
+def lower_tail(x: str, dof: str) -> str:
+    """P(X <= x) of a chi-square variable as a sum of positive terms."""
+    h, a = f"({x}) / 2.0", f"({dof}) / 2.0"
+    return (
+        f"coalesce(list_sum(list_transform(range(0, cast({h} + 12 * sqrt({h}) + 300 AS bigint)), "
+        f"lambda n: exp(({a} + n) * ln({h}) - {h} - lgamma({a} + n + 1)))), 0)"
+    )
+
+
+# critical values by halving an interval that holds them
+CHI_TEST = "WITH RECURSIVE stats AS (" + chi_sql(True).replace("round(sum", "(sum").replace(", 6) END AS stat", ") END AS stat") + f"""),
+halving AS (
+  SELECT feature, dof, 1e-9::double AS lo, dof + 10 * sqrt(2.0 * dof) + 50 AS hi, 0 AS step FROM stats WHERE dof IS NOT NULL
+  UNION ALL
+  SELECT feature, dof, CASE WHEN below THEN mid ELSE lo END, CASE WHEN below THEN hi ELSE mid END, step + 1
+  FROM (SELECT *, (lo + hi) / 2 AS mid, {lower_tail('(lo + hi) / 2', 'dof')} < 0.8 AS below FROM halving WHERE step < 60)),
+critical AS (SELECT feature, (lo + hi) / 2 AS critical FROM halving WHERE step = 60)
+SELECT feature, n_values, round(stat, 6) AS stat, round(critical, 6) AS critical,
+  CASE WHEN dof IS NOT NULL THEN abs(round(1 - {lower_tail('greatest(stat, 1e-12)', 'dof')}, 8)) END AS p_value
+FROM stats LEFT JOIN critical USING (feature)"""
+
+
 def index_sql(rules: str, where: str = "true") -> str:
     return with_(EVENTS, FEATURE_ROWS) + f"""SELECT fea_k AS name, 0 AS f1, cast({rules} AS bigint) AS size, 'int' AS type, 0 AS f2, 0 AS f3, 0 AS f4
 FROM (SELECT fea_k, count(DISTINCT fea_v) AS n FROM feature_counts GROUP BY fea_k) WHERE n > 1 AND {where}"""
@@ -372,6 +394,7 @@ FROM lab WHERE package_name = 'app.two' AND bid_price >= 5 AND c_id IS NOT NULL"
     "mi_cvr": mi_sql("install", "click > 0"),
     "chi_square_stat": chi_sql(True),
     "chi_square_uncorrected": chi_sql(False),
+    "chi_square_test": CHI_TEST,
     "index_allocation": index_sql("""CASE fea_k WHEN 'up_uid' THEN 200000 WHEN 'ctx_ip' THEN 100000 WHEN 'up_uc/7d' THEN 10000 WHEN 'ad_ac' THEN 5000
   WHEN 'ad_ai_cid' THEN 10000 WHEN 'ad_ai_aid' THEN 3000 WHEN 'ctx_ad_pkg' THEN 3 * n ELSE 10 * n END""", "fea_k <> 'ctx_ne3'"),
     "index_allocation_compact": index_sql("""CASE fea_k WHEN 'ctx_ip' THEN 100000 WHEN 'up_uc/7d' THEN 10000 WHEN 'ad_ac' THEN 10000

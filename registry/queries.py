@@ -254,7 +254,8 @@ def chi_square_uncorrected(spark, d):
 
 
 def chi_square_test(spark, d):
-    return features.chi_square_test(_label_features(spark, d))
+    out = features.chi_square_test(_label_features(spark, d))
+    return out.withColumns({"stat": F.round("stat", 6), "critical": F.round("critical", 6), "p_value": F.round("p_value", 8)})
 
 
 def index_allocation(spark, d):

@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from adfeat.operators.skew import join_hot, key_counts
 
 
@@ -24,3 +26,22 @@ def test_counts_add_up(spark):
     left, _ = frames(spark)
     fine = key_counts(left, ["k", "j"])
     assert {r.k: r._n for r in key_counts(fine, ["k"], "_n").collect()} == {r.k: r._n for r in key_counts(left, ["k"]).collect()}
+
+
+def test_hot_rows_leave_one_task(spark):
+    left = spark.range(4000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS k", "id AS i")
+    right = spark.range(3000).selectExpr("id AS k", "id AS v").groupBy("k").agg(F.sum("v").alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+
+        def tasks(df):
+            return df.where("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
+
+        assert tasks(left.join(right, "k", "left")) == 1
+        assert tasks(join_hot(left, right, ["k"], "left", 100)) > 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
