@@ -32,6 +32,16 @@ def cell(install_field: str) -> Column:
     return F.expr(f"named_struct({', '.join(slots)})")
 
 
+def empty_cell(install_field: str) -> Column:
+    """Cell without any window, ``{}`` as JSON."""
+    return F.expr("named_struct(" + ", ".join(
+        f"'{SLOT_PREFIX}{w}', CAST(NULL AS {counts_type(install_field)})" for w in WINDOW_TAGS
+    ) + ")")
+
+
+def counts_type(install_field: str) -> str:
+    return f"struct<imp:bigint,click:bigint,{install_field}:bigint>"
+
+
 def cell_type(install_field: str) -> str:
-    counts = f"struct<imp:bigint,click:bigint,{install_field}:bigint>"
-    return "struct<" + ",".join(f"{SLOT_PREFIX}{w}:{counts}" for w in WINDOW_TAGS) + ">"
+    return "struct<" + ",".join(f"{SLOT_PREFIX}{w}:{counts_type(install_field)}" for w in WINDOW_TAGS) + ">"

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, functions as F
 
 from adfeat.config import MAIN, Variant
-from adfeat.functions.cells import cell_type
+from adfeat.functions.cells import empty_cell
 from adfeat.functions.keys import dim_text, keyed_sets
 from adfeat.operators.counters import counter_cells
 from adfeat.operators.skew import HOT_ROWS, counted_keys, join_hot, key_counts
@@ -89,7 +89,7 @@ def _label(variant: Variant) -> Column:
 
 def _feature(variant: Variant) -> Column:
     # a key without counters shows as an empty cell
-    empty = F.from_json(F.lit("{}"), cell_type(variant.install_field))
+    empty = empty_cell(variant.install_field)
 
     def slots(sets) -> Column:
         return F.struct(*[F.coalesce(F.col(s.slot), empty).alias(s.slot) for s in sets])
