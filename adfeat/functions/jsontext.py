@@ -49,3 +49,8 @@ def must_have(value: Column, name: str, document: Column) -> Column:
     message = F.concat(F.lit(f"missing field {name}: "), F.coalesce(document, F.lit("")))
     # coalesce and when are lazy; an OR would have the document parsed for every row
     return F.coalesce(value, F.when(~present, F.raise_error(message)))
+
+
+def open_object(document: Column) -> Column:
+    """JSON object text without its closing brace, to append fields to."""
+    return document.substr(F.lit(1), F.length(document) - 1)

@@ -70,5 +70,5 @@ def flatten_train_feature(raw: DataFrame, mode: str = "failfast") -> DataFrame:
         ad("camp_id").cast("bigint").alias("ad_id"),
         ad("creative_id").cast("bigint").alias("creative_id"),
         ad("request_id").alias("request_id"),
-        ad("feature").alias("feature"),
+        F.coalesce(ad("feature"), F.lit("null")).alias("feature"),
     )

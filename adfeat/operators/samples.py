@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from adfeat.config import MAIN, Variant
 from adfeat.functions.cells import empty_cell
+from adfeat.functions.jsontext import open_object
 from adfeat.functions.keys import dim_text, keyed_sets
 from adfeat.operators.counters import counter_cells
 from adfeat.operators.skew import HOT_ROWS, counted_keys, join_hot, key_counts
@@ -130,7 +131,7 @@ def sample_json(label: Column | str = "label", feature: Column | str = "feature"
         return F.coalesce(F.to_json(c), F.lit("{}"))
 
     profile, data = feature["userProfile"], feature["adData"]
-    user_id = F.substring_index(full(F.struct(profile["userId"].alias("userId"))), "}", 1)
+    user_id = open_object(full(F.struct(profile["userId"].alias("userId"))))
     return F.concat(
         F.lit('{"label":'), full(label),
         F.lit(',"feature":{"userProfile":'), user_id,

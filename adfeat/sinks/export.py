@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from adfeat.config import (
     ENTRY_TTL_SECONDS, INT32_MAX, MAIN, MEASURES, USER_COUNTER_KEY_PREFIX, USER_PROFILE_KEY_PREFIX, WINDOW_TAGS, Variant,
 )
+from adfeat.functions.jsontext import open_object
 from adfeat.functions.keys import counter_key, dim_text
 from adfeat.operators.counters import counter_cells
 
@@ -41,7 +42,7 @@ def write_snapshot(df: DataFrame, root: str, day: str, mode: str = "errorifexist
 def entity_lines(entities: DataFrame) -> DataFrame:
     """``{"user_id": …, "pb": …}`` lines from ``(user_id, value)`` with JSON text in ``value``."""
     head = F.to_json(F.struct("user_id"), {"ignoreNullFields": "false"})
-    return entities.select(F.concat(F.substring_index(head, "}", 1), F.lit(',"pb":'), F.col("value"), F.lit("}")).alias("value"))
+    return entities.select(F.concat(open_object(head), F.lit(',"pb":'), F.col("value"), F.lit("}")).alias("value"))
 
 
 def register_hour(spark: SparkSession, table: str, hour: str, location: str | None = None) -> None:
@@ -127,7 +128,7 @@ def manifest(lines: DataFrame, column: str = "value", by: tuple[str, ...] = ())
     """Row count and order-independent md5 checksum of a text artefact, per ``by`` group.
 
     Line digests are added up, so the checksum is combined map-side and does not depend on file order."""
-    digest = F.conv(F.substring(F.md5(F.col(column)), 1, 15), 16, 10).cast("decimal(20,0)")
+    digest = F.conv(F.substring(F.md5(F.col(column)), 1, 15), 16, 10).cast("decimal(28,0)")
     return lines.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(digest).alias("_s")).select(
         *by, "n_rows", F.md5(F.concat_ws("|", F.col("n_rows").cast("string"), F.col("_s").cast("string"))).alias("checksum")
     )

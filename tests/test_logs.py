@@ -61,6 +61,7 @@ def test_train_feature(spark):
     (row,) = flatten.flatten_train_feature(lines(spark, {"rec_ads": [ad]})).collect()
     assert (row.ad_id, row.creative_id, row.request_id) == (12, 34, "r")
     assert json.loads(row.feature) == ad["feature"]
+    assert flatten.flatten_train_feature(lines(spark, {"rec_ads": [{**ad, "feature": None}]})).first().feature == "null"
     with pytest.raises(Exception):
         flatten.flatten_train_feature(lines(spark, {"rec_ads": [{**ad, "camp_id": "x1"}]})).collect()
     with pytest.raises(Exception, match="missing field feature"):

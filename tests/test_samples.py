@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from adfeat.config import MAIN, NATION
 from adfeat.operators import counters, samples
+from adfeat.operators.profile import user_profiles
 from registry import fixtures as fx
 from registry import queries as q
 
@@ -74,6 +75,18 @@ def test_every_label_survives_once(spark):
     assert out.count() == 2 * labels.count()
 
 
+def test_odd_texts_stay_valid_json(spark):
+    odd = 'x}{"\\#\té'
+    labels, ads, users, _ = inputs(spark)
+    labels = labels.withColumns({"user_id": F.lit(odd), "ad_package_name": F.lit(odd), "client_ip": F.lit(odd)})
+    base = spark.createDataFrame([(odd, "", "", "", odd, odd)], "user_id string, age string, gender string, country string, province string, city string")
+    behaviour = spark.createDataFrame([(odd, "ad_app_click", [odd])], "user_id string, action_type string, app_list array<string>")
+    out = samples.assemble_samples(labels, ads, users, user_profiles(base, behaviour))
+    doc = json.loads(out.select(samples.sample_json().alias("s")).first().s)["feature"]
+    assert doc["userProfile"]["userId"] == doc["userProfile"]["userBase"]["city"] == doc["context"]["clientIp"] == doc["adData"]["adInfo"]["appId"] == odd
+    assert doc["userProfile"]["userBehavior"] == {"clickAdAppList": [odd]}
+
+
 def test_dates():
     samples.check_dates("2024-01-30", "2024-01-31")
     for bad in ("2024-01-31", "2024-02-01"):

@@ -85,10 +85,11 @@ def test_register_hour(spark, tmp_path):
 
 def test_entities(spark, tmp_path):
     path = str(tmp_path / "e")
-    rows = spark.createDataFrame([("u", '{"userBase":{"city":"São"},"n":[1,2]}')], "user_id string, value string")
+    odd = 'u}{"\\\té'
+    rows = spark.createDataFrame([(odd, '{"userBase":{"city":"São"},"n":[1,2]}')], "user_id string, value string")
     export.entity_lines(rows).write.text(path)
     (back,) = stores.read_entities(spark, path).collect()
-    assert back.user_id == "u" and json.loads(back.pb) == {"userBase": {"city": "São"}, "n": [1, 2]}
+    assert back.user_id == odd and json.loads(back.pb) == {"userBase": {"city": "São"}, "n": [1, 2]}
 
 
 def test_allow_list_and_model(spark, tmp_path):
