@@ -74,7 +74,8 @@ def assemble_samples(
     if nation:
         ad_counters = ad_counters.withColumn("nation", dim_text("nation"))
 
-    users = _slots(counted_keys(by_user_ad), user_counters, variant.user_sets, ("user_id",), variant, hot_rows)
+    known = F.col("t_user_id").isNotNull()
+    users = _slots(counted_keys(by_user_ad).where(known), user_counters, variant.user_sets, ("user_id",), variant, hot_rows)
     ads = _slots(counted_keys(by_ad), ad_counters, variant.ad_sets, nation, variant, hot_rows)
     owners = profiles.select(F.col("user_id").alias("t_user_id"), "userBase", "userBehavior")
 

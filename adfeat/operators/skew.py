@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 # A key with at least this many rows is split over several tasks. The list of such keys is bounded
 # by rows / HOT_ROWS (500 thousand keys for 10^12 rows), which is what makes broadcasting it safe.
 HOT_ROWS = 2_000_000
+NULL_PIECES = 1 << 20
 
 
 def key_counts(df: DataFrame, keys: list[str], weight: str | None = None) -> DataFrame:
@@ -38,8 +41,8 @@ def join_hot(
     they cost one more aggregation of ``left``, combined map-side.
 
     Rows of a hot key are spread by a hash of the whole row (repeatable, so a lost task can be
-    recomputed), and only the matching right rows are repeated, once per piece. Null keys count as
-    a key here: they never match, but unsalted they would all land in one task.
+    recomputed), and only the matching right rows are repeated, once per piece. Rows with a null
+    key never match; they are spread the same way, as unsalted they would all land in one task.
 
     Adaptive skew handling alone would not do: it cannot split a join whose other side is an
     aggregation on the same keys, which is the usual case for lookups.
@@ -51,12 +54,14 @@ def join_hot(
     )
 
     def mark(df: DataFrame) -> DataFrame:
-        cond = [df[k].eqNullSafe(hot[f"_h_{k}"]) for k in keys]
+        cond = [df[k] == hot[f"_h_{k}"] for k in keys]
         return df.join(F.broadcast(hot), cond, "left").drop(*[f"_h_{k}" for k in keys])
 
-    pieces = F.coalesce(F.col("_pieces"), F.lit(1))
-    # only rows of hot keys are hashed
-    salt = F.when(F.col("_pieces").isNotNull(), F.pmod(F.xxhash64(*cols), F.col("_pieces")).cast("int")).otherwise(0)
+    # only these rows are hashed
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    spread = F.when(no_key, NULL_PIECES).otherwise(F.col("_pieces"))
+    salt = F.when(spread.isNotNull(), F.pmod(F.xxhash64(*cols), spread).cast("int")).otherwise(0)
     salted = mark(left).withColumn("_salt", salt).drop("_pieces")
-    copies = mark(right).withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1))).drop("_pieces")
+    pieces = F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)
+    copies = mark(right).withColumn("_salt", F.explode(pieces)).drop("_pieces")
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
