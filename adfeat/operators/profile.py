@@ -53,7 +53,8 @@ def user_profiles(
     )
     apps = lists.select("user_id", "action_type", F.explode(F.array_append("l", F.lit(None).cast("string"))).alias("app"))
     if allowed_apps is not None:
-        checked = F.col("action_type").isin(*RESTRICTED) & F.col("app").isNotNull()
+        # naming the exploded app keeps this filter above the aggregation, so both branches read one shuffle
+        checked = F.coalesce(F.when(F.col("app").isNotNull(), F.col("action_type")).isin(*RESTRICTED), F.lit(False))
         apps = apps.where(~checked).unionByName(apps.where(checked).join(allowed_apps.select("app"), "app", "left_semi"))
     of_type = {s: F.col("action_type") == t for t, s in BEHAVIOUR_SLOTS.items()}
     users = rows.unionByName(apps, allowMissingColumns=True).groupBy("user_id").agg(

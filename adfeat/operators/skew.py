@@ -27,6 +27,15 @@ def counted_keys(counts: DataFrame) -> DataFrame:
     return counts.where(F.col("_n") > 0).drop("_n")
 
 
+def short_list(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The few rows left by a filter on a large aggregation, made ready to be broadcast.
+
+    A broadcast must finish in ``spark.sql.broadcastTimeout``. The extra shuffle of the few rows moves
+    the long work before it into a stage of its own, which has no such limit.
+    """
+    return df.repartition(8, *keys)
+
+
 def join_hot(
     left: DataFrame,
     right: DataFrame,
@@ -49,13 +58,17 @@ def join_hot(
     """
     assert how in ("inner", "left")
     cols = [f.name for f in left.schema if f.dataType.typeName() not in ("map", "variant")]  # these have no hash
-    hot = (key_counts(left, keys) if counts is None else counts).where(F.col("_n") >= hot_rows).select(
-        *[F.col(k).alias(f"_h_{k}") for k in keys], F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")
+    names = [f"_h_{k}" for k in keys]
+    counts = key_counts(left, keys) if counts is None else counts
+    hot = short_list(
+        counts.where(F.col("_n") >= hot_rows).select(
+            *[F.col(k).alias(n) for k, n in zip(keys, names)], F.ceil(F.col("_n") / hot_rows).cast("int").alias("_pieces")
+        ),
+        names,
     )
 
     def mark(df: DataFrame) -> DataFrame:
-        cond = [df[k] == hot[f"_h_{k}"] for k in keys]
-        return df.join(F.broadcast(hot), cond, "left").drop(*[f"_h_{k}" for k in keys])
+        return df.join(F.broadcast(hot), [df[k] == hot[n] for k, n in zip(keys, names)], "left").drop(*names)
 
     # only these rows are hashed
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])

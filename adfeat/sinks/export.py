@@ -10,6 +10,7 @@ from adfeat.config import (
 from adfeat.functions.jsontext import open_object
 from adfeat.functions.keys import counter_key, dim_text
 from adfeat.operators.counters import counter_cells
+from adfeat.operators.skew import short_list
 
 # Users with more counter keys than this get several parts. The list of such users is bounded by
 # keys / MAX_KEYS_PER_PART (5 million for 10^12 keys), which makes broadcasting it safe.
@@ -64,9 +65,9 @@ def user_counter_entries(
     """
     cells = counter_cells(counters, variant, by=("user_id",)).select("user_id", counter_key().alias("k"), "cell")
     # counting a hash of the whole cell keeps all its columns, so that count and documents read the same shuffle
-    big = cells.groupBy("user_id").agg(F.count(F.nullif(F.xxhash64("k", "cell"), F.lit(0))).alias("n")).where(
-        F.col("n") > max_keys
-    ).select(F.col("user_id").alias("_u"), F.ceil(F.col("n") / max_keys).alias("_parts"))
+    n = F.count(F.nullif(F.xxhash64("k", "cell"), F.lit(0)))
+    big = cells.groupBy(F.col("user_id").alias("_u")).agg(n.alias("n")).where(F.col("n") > max_keys)
+    big = short_list(big.select("_u", F.ceil(F.col("n") / max_keys).alias("_parts")), ["_u"])
     sized = cells.join(F.broadcast(big), F.col("user_id").eqNullSafe(F.col("_u")), "left")
     part = F.pmod(F.xxhash64("k"), F.coalesce("_parts", F.lit(1))).cast("int")
     docs = sized.groupBy("user_id", part.alias("part")).agg(
