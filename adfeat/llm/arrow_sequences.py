@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from adfeat.llm.common import shared_dir, text_key
-from adfeat.llm.encoding import WordEncoder, raw
+from adfeat.llm.encoding import WordEncoder
 
 LENGTH, ROWS, END = 2048, 256, 1  # ids of a sequence, sequences of a record batch, id that ends a document
 MANIFEST = "part int, ids_file string, index_file string, n_documents long, n_tokens long"
@@ -66,16 +66,17 @@ def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH, ro
                         streams.append(system.open_output_stream(path))
                     out = pa.ipc.new_file(streams[0], sequence_schema(length))
                     index = pa.ipc.new_file(streams[1], index_schema(batch))
-                encoded = encoder.encode(raw(batch.column("text")))
-                sizes = np.array([len(x) // 2 + 1 for x in encoded], np.int64)
-                starts = local + np.cumsum(sizes) - sizes
-                index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(starts), pa.array(sizes)], schema=index_schema(batch)))
-                local, documents = local + int(sizes.sum()), documents + len(sizes)
-                for x in encoded:
-                    pending += x + ending
+                sizes = []
+                for ids in encoder.encode(batch.column("text").to_pylist()):
+                    sizes.append(len(ids) // 2 + 1)
+                    pending += ids + ending
                     while len(pending) >= 2 * rows * length:
                         out.write_batch(batch_of(np.frombuffer(bytes(pending[: 2 * rows * length]), "<u2"), length))
                         del pending[: 2 * rows * length]
+                counts = np.array(sizes, np.int64)
+                starts = local + np.cumsum(counts) - counts
+                index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(starts), pa.array(counts)], schema=index_schema(batch)))
+                local, documents = local + int(counts.sum()), documents + len(counts)
             if out is not None:
                 if pending:
                     out.write_batch(batch_of(np.frombuffer(bytes(pending), "<u2"), length))

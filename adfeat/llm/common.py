@@ -87,8 +87,9 @@ def on_doc(left: DataFrame, right: DataFrame, how: str = "left", size: int | Non
     return left.join(right, same, how).drop("__doc_id", "__text_key")
 
 
-def numbered(df: DataFrame, key: str) -> DataFrame:
-    """The rows with `rank`: gapless from 0 within each value of an integer column, in no particular order.
+def numbered(df: DataFrame, key: str, task: Callable | None = None, schema: str = "") -> DataFrame:
+    """The rows with `rank`: gapless from 0 within each value of an integer column, in no particular order. If a task is given
+    (Arrow batches to batches, with their schema), its rows are numbered in the same pass.
 
     Each task numbers its own rows by value and the table is written once; the counts of (task, value) then give where each
     task starts. No value is ever gathered in one task, however many rows it holds.
@@ -96,7 +97,7 @@ def numbered(df: DataFrame, key: str) -> DataFrame:
 
     def number(batches):
         part, seen = TaskContext.get().partitionId(), {}
-        for batch in batches:
+        for batch in batches if task is None else task(batches):
             keys = batch.column(key).to_pandas()
             local = keys.groupby(keys).cumcount() + keys.map(seen).fillna(0).astype("int64")
             for value, count in keys.value_counts().items():
@@ -104,8 +105,8 @@ def numbered(df: DataFrame, key: str) -> DataFrame:
             columns = [*batch.columns, pa.array([part] * len(keys), pa.int32()), pa.array(local.to_numpy(), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "part", "local"])
 
-    schema = T.StructType([*df.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("local", T.LongType())])
-    rows = saved(df.mapInArrow(number, schema))
+    made = T.StructType.fromDDL(schema) if schema else df.schema
+    rows = saved(df.mapInArrow(number, T.StructType([*made.fields, T.StructField("part", T.IntegerType()), T.StructField("local", T.LongType())])))
     before = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = cut(rows.groupBy("part", key).count().select("part", key, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base")))
     joined = rows.join(small(base, base.count(), 32), ["part", key])

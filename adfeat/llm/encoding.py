@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-REMEMBERED, LONGEST = 400_000, 64  # stretches kept per worker, and their most bytes
+REMEMBERED, LONGEST = 700_000, 64  # units kept per worker, and their most characters
+STEP = 1_000_000  # characters encoded at a time
+
+#: Texts of these characters only (ASCII, and letters of Latin-1, which no normalisation changes) are cut into the tokenizer's
+#: own units here; "<|" could begin a special string.
+OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]|<\|")
+LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 
 
 def load(path: str):
@@ -27,45 +34,114 @@ def raw(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def steps(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in runs of about STEP characters."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text)
+        if size >= STEP:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 class Encoder:
-    """Token ids of texts as 16-bit numbers; stretches between which the tokenizer starts anew are encoded once and remembered."""
+    """Token ids of texts as 16-bit numbers, by the library. The units that it encodes apart from each other are encoded once
+    and remembered; new ones go to the library many at a time, where the ids of each can be told apart."""
+
+    WORD: re.Pattern
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load(path), {}
+        self.tokenizer, self.known, self.is_word = load(path), {}, self.WORD.fullmatch
 
-    def stretches(self, text: bytes) -> list[bytes]:
+    def units(self, text: str) -> list[str]:
+        """The tokenizer's units of a text without OTHER characters."""
         raise NotImplementedError
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        cut = [self.stretches(t) for t in texts]
-        fresh = list({w for words in cut for w in words if w not in self.known})
-        made = dict(zip(fresh, self.library(fresh)))
-        self.known.update((w, ids) for w, ids in made.items() if len(w) <= LONGEST)
-        known = self.known
-        return [b"".join([known[w] if w in known else made[w] for w in words]) for words in cut]
+    def stretches(self, text: str) -> list[str]:
+        """Pieces of any text between which the tokenizer starts anew."""
+        raise NotImplementedError
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of new units that are words."""
+        raise NotImplementedError
 
-    def library(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u2").tobytes() for x in found]
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        for run in steps([t or "" for t in texts]):
+            cut = [self.stretches(t) if OTHER.search(t) else self.units(t) for t in run]
+            used, known = set().union(*cut), self.known
+            fresh = used.difference(known)
+            words = list(filter(self.is_word, fresh))
+            others = list(fresh.difference(words))
+            known.update(zip(words, self.words(words)))
+            known.update(zip(others, self.library(others)))
+            for units in cut:
+                yield b"".join(map(known.__getitem__, units))
+            for unit in others:
+                if len(unit) > LONGEST:
+                    del known[unit]
+            if len(known) > REMEMBERED:
+                self.known = {unit: known[unit] for unit in used.intersection(known)}
+
+    def library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype="<u2").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def together(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u2")
 
 
 class WordEncoder(Encoder):
-    """For vocabularies that drop white space: no token, special string or normalisation reaches across ASCII white space."""
+    """For vocabularies that drop white space and mark word ends: neither token, special string nor normalisation reaches
+    across ASCII white space, and each unit ends with the one id in it that is marked."""
 
-    def stretches(self, text: bytes) -> list[bytes]:
-        return text.split()
+    UNIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+")
+    WORD = re.compile(rf"[{LETTERS}]+")
+    SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
+
+    def units(self, text: str) -> list[str]:
+        return self.UNIT.findall(text.lower())
+
+    def stretches(self, text: str) -> list[str]:
+        return [w for w in self.SPACE.split(text) if w]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        ids = self.together(" ".join(words))
+        edges = np.flatnonzero(self.ends[ids]) + 1
+        if len(edges) != len(words):
+            return self.library(words)
+        return [ids[a:b].tobytes() for a, b in zip([0, *edges[:-1].tolist()], edges.tolist())]
 
 
 class ByteEncoder(Encoder):
-    """For byte-level vocabularies: a token starts at each single space or line feed between two other characters."""
+    """For byte-level vocabularies: ids stand for bytes one to one, so that units of known length can be told apart."""
 
-    ODD = re.compile(rb"[ \n]{2}|[\t\r\x0b\x0c\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+    UNIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
+    WORD = re.compile(rf" [{LETTERS}]+")
+    START = re.compile(r"(?<=\S)(?=[ \n]\S)")  # a token starts at a single space or line feed between two other characters
 
-    def stretches(self, text: bytes) -> list[bytes]:
-        if not text or self.ODD.search(text):
-            return [text] if text else []
-        first, *rest = text.replace(b"\n", b" \n").split(b" ")
-        head = [first] if first else []
-        return head + [w if w[:1] == b"\n" else b" " + w for w in rest]
+    def __init__(self, path: str):
+        super().__init__(path)
+        size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
+
+    def units(self, text: str) -> list[str]:
+        return self.UNIT.findall(text)
+
+    def stretches(self, text: str) -> list[str]:
+        return [w for w in self.START.split(text) if w]
+
+    def words(self, words: list[str]) -> list[bytes]:
+        ids = self.together("".join(words))
+        ends = np.cumsum(self.lengths[ids])
+        wanted = np.cumsum([len(w.encode()) for w in words])
+        edges = np.searchsorted(ends, wanted)
+        if len(ids) and not (ends[np.minimum(edges, len(ends) - 1)] == wanted).all():
+            return self.library(words)
+        return [ids[a:b].tobytes() for a, b in zip([0, *(edges[:-1] + 1).tolist()], (edges + 1).tolist())]

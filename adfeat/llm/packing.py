@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import numbered
-from adfeat.llm.encoding import ByteEncoder, raw
+from adfeat.llm.encoding import ByteEncoder
 
 LENGTH, END = 1024, 2  # ids of a sequence, id that ends a document
 
@@ -57,7 +57,7 @@ def sweep(sizes: dict[int, int], length: int) -> list[tuple[int, int, int, int]]
 
 
 def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END) -> DataFrame:
-    """doc_id, piece, start, length and ids (32-bit little-endian) of the pieces of each document, `end` included.
+    """Ranked pieces: doc_id, piece, start, length and ids (32-bit little-endian) of the pieces of each document, `end` included.
 
     Only documents of more than `length` ids are cut; all pieces but the first then have `length` ids.
     """
@@ -70,7 +70,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows: list[tuple] = []
-                for k, found in enumerate(encoder.encode(raw(part.column("text")))):
+                for k, found in enumerate(encoder.encode(part.column("text").to_pylist())):
                     ids = np.frombuffer(found + ending, "<u2").astype("<u4")
                     first = (len(ids) - 1) % length + 1
                     edges = [0, *range(first, len(ids) + 1, length)]
@@ -80,7 +80,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
                     columns = [part.column("doc_id").take(pa.array(doc)), pa.array(n, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(task, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return numbered(docs.select("doc_id", "text"), "length", task, f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END) -> DataFrame:
@@ -90,7 +90,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END)
     rows) and say which ranks go where. Null texts count as empty (one id); null doc_ids are kept; repeated rows are packed
     each; an empty table gives no rows; other columns are ignored. Which of two pieces of equal size goes where is open.
     """
-    ranked = numbered(pieces(docs, tokenizer, length, end), "length")
+    ranked = pieces(docs, tokenizer, length, end)
     plan = sweep({r["length"]: r["count"] for r in ranked.groupBy("length").count().collect()}, length)
     by_size: dict[int, np.ndarray] = {}
     for size, *row in plan:
