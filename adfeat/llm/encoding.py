@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-REMEMBERED, LONGEST = 700_000, 64  # units kept per worker, and their most characters
+REMEMBERED, LONGEST = 800_000, 64  # units kept per worker, and their most characters
 STEP = 1_000_000  # characters encoded at a time
 
 #: Texts of these characters only (ASCII, and letters of Latin-1, which no normalisation changes) are cut into the tokenizer's
@@ -71,19 +71,21 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         for run in steps([t or "" for t in texts]):
             cut = [self.stretches(t) if OTHER.search(t) else self.units(t) for t in run]
-            used, known = set().union(*cut), self.known
-            fresh = used.difference(known)
+            known = self.known
+            found = [list(map(known.get, units)) for units in cut]
+            fresh = {unit for units, ids in zip(cut, found) if None in ids for unit, one in zip(units, ids) if one is None}
             words = list(filter(self.is_word, fresh))
             others = list(fresh.difference(words))
-            known.update(zip(words, self.words(words)))
-            known.update(zip(others, self.library(others)))
-            for units in cut:
-                yield b"".join(map(known.__getitem__, units))
+            made = dict(zip(words, self.words(words)))
+            made.update(zip(others, self.library(others)))
+            for units, ids in zip(cut, found):
+                yield b"".join([made[unit] if one is None else one for unit, one in zip(units, ids)] if None in ids else ids)
             for unit in others:
                 if len(unit) > LONGEST:
-                    del known[unit]
-            if len(known) > REMEMBERED:
-                self.known = {unit: known[unit] for unit in used.intersection(known)}
+                    del made[unit]
+            if len(known) + len(made) > REMEMBERED:
+                known.clear()
+            known.update(made)
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u2").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -96,7 +98,7 @@ class WordEncoder(Encoder):
     """For vocabularies that drop white space and mark word ends: neither token, special string nor normalisation reaches
     across ASCII white space, and each unit ends with the one id in it that is marked."""
 
-    UNIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LETTERS}]+")
+    UNIT = re.compile(rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+")
     WORD = re.compile(rf"[{LETTERS}]+")
     SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
@@ -122,7 +124,7 @@ class WordEncoder(Encoder):
 class ByteEncoder(Encoder):
     """For byte-level vocabularies: ids stand for bytes one to one, so that units of known length can be told apart."""
 
-    UNIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
+    UNIT = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
     WORD = re.compile(rf" [{LETTERS}]+")
     START = re.compile(r"(?<=\S)(?=[ \n]\S)")  # a token starts at a single space or line feed between two other characters
 
