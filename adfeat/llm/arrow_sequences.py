@@ -67,7 +67,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH, ro
                     out = pa.ipc.new_file(streams[0], sequence_schema(length))
                     index = pa.ipc.new_file(streams[1], index_schema(batch))
                 sizes = []
-                for ids in encoder.encode(batch.column("text").to_pylist()):
+                for ids in encoder.encode(batch.column("text")):
                     sizes.append(len(ids) // 2 + 1)
                     pending += ids + ending
                     while len(pending) >= 2 * rows * length:

@@ -8,13 +8,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
-REMEMBERED, LONGEST = 800_000, 64  # units kept per worker, and their most characters
-STEP = 1_000_000  # characters encoded at a time
+REMEMBERED, LONGEST = 1_000_000, 64  # pieces and units kept per worker, and their most characters
+STEP = 4_000_000  # bytes encoded at a time
 
 #: Texts of these characters only (ASCII, and letters of Latin-1, which no normalisation changes) are cut into the tokenizer's
 #: own units here; "<|" could begin a special string.
 OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]|<\|")
+OTHER_ARROW = r"[^\t\n\r\x20-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]|<\|"
 LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 
 
@@ -34,58 +36,96 @@ def raw(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def steps(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in runs of about STEP characters."""
-    run, size = [], 0
-    for text in texts:
-        run.append(text)
-        size += len(text)
-        if size >= STEP:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def steps(column: pa.Array) -> Iterator[pa.Array]:
+    """The texts in runs of about STEP bytes."""
+    sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(column):
+        end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + STEP)) + 1
+        yield column.slice(start, end - start)
+        start = end
 
 
 class Encoder:
-    """Token ids of texts as 16-bit numbers, by the library. The units that it encodes apart from each other are encoded once
-    and remembered; new ones go to the library many at a time, where the ids of each can be told apart."""
+    """Token ids of texts as 16-bit numbers, by the library.
 
+    A text is cut into pieces between which the tokenizer starts anew, and a new piece into the units that it encodes apart
+    from each other. Both are remembered; new units go to the library many at a time, where the ids of each can be told apart.
+    """
+
+    ODD: str  # texts that go another way, as a pattern of Arrow
     WORD: re.Pattern
+    UNIT: re.Pattern
 
     def __init__(self, path: str):
-        self.tokenizer, self.known, self.is_word = load(path), {}, self.WORD.fullmatch
+        self.tokenizer, self.known, self.unit_ids = load(path), {}, {}
 
-    def units(self, text: str) -> list[str]:
-        """The tokenizer's units of a text without OTHER characters."""
+    def pieces(self, texts: pa.Array) -> pa.ListArray:
+        """The pieces of usual texts."""
         raise NotImplementedError
 
+    def plain(self, piece: str) -> str:
+        """What a piece stands for."""
+        return piece
+
     def stretches(self, text: str) -> list[str]:
-        """Pieces of any text between which the tokenizer starts anew."""
+        """The pieces of any text."""
         raise NotImplementedError
 
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of new units that are words."""
         raise NotImplementedError
 
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        for run in steps([t or "" for t in texts]):
-            cut = [self.stretches(t) if OTHER.search(t) else self.units(t) for t in run]
-            known = self.known
-            found = [list(map(known.get, units)) for units in cut]
-            fresh = {unit for units, ids in zip(cut, found) if None in ids for unit, one in zip(units, ids) if one is None}
-            words = list(filter(self.is_word, fresh))
-            others = list(fresh.difference(words))
-            made = dict(zip(words, self.words(words)))
-            made.update(zip(others, self.library(others)))
-            for units, ids in zip(cut, found):
-                yield b"".join([made[unit] if one is None else one for unit, one in zip(units, ids)] if None in ids else ids)
-            for unit in others:
-                if len(unit) > LONGEST:
-                    del made[unit]
-            if len(known) + len(made) > REMEMBERED:
-                known.clear()
-            known.update(made)
+    def encode(self, column: pa.Array) -> Iterator[bytes]:
+        """Ids of each text, null as empty."""
+        for run in steps(column.cast(pa.string()).fill_null("")):
+            odd = pc.match_substring_regex(run, self.ODD)
+            usual = iter(self.usual(run.filter(pc.invert(odd))))
+            for k, strange in enumerate(odd.to_pylist()):
+                yield self.unusual(run[k].as_py()) if strange else next(usual)
+
+    def usual(self, texts: pa.Array) -> list[bytes]:
+        """Each different piece is looked up once; the rest is arithmetic on arrays."""
+        lists = self.pieces(texts)
+        coded = lists.flatten().dictionary_encode()
+        pieces, codes, known = coded.dictionary.to_pylist(), coded.indices.to_numpy(), self.known
+        found = list(map(known.get, pieces))
+        made = self.fresh({piece for piece, ids in zip(pieces, found) if ids is None})
+        found = [made[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
+        if len(known) + len(made) > REMEMBERED:
+            known.clear()
+        known.update((piece, ids) for piece, ids in made.items() if len(piece) <= LONGEST)
+        flat = np.frombuffer(b"".join(found), "<u2")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        starts, n = np.cumsum(sizes) - sizes, sizes[codes]
+        ends = np.cumsum(n)
+        out = flat[np.repeat(starts[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        return [out[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())]
+
+    def fresh(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces not seen before, by way of their units."""
+        known, split = self.unit_ids, {piece: self.UNIT.findall(self.plain(piece)) for piece in pieces}
+        units = {unit for units in split.values() for unit in units if unit not in known}
+        words = list(filter(self.WORD.fullmatch, units))
+        others = list(units.difference(words))
+        known.update(zip(words, self.words(words)))
+        known.update(zip(others, self.library(others)))
+        made = {piece: b"".join([known[unit] for unit in units]) for piece, units in split.items()}
+        if len(known) > REMEMBERED:
+            known.clear()
+        for unit in others:
+            if len(unit) > LONGEST:
+                known.pop(unit, None)
+        return made
+
+    def unusual(self, text: str) -> bytes:
+        """Ids of a text with OTHER characters: the stretches that hold some go to the library as they are."""
+        parts = self.stretches(text)
+        usual = self.fresh({part for part in parts if not OTHER.search(part.removeprefix("\0"))})
+        odd = list({part for part in parts if part not in usual})
+        made = dict(zip(odd, self.library([part.removeprefix("\0") for part in odd])))
+        return b"".join([usual[part] if part in usual else made[part] for part in parts])
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u2").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -98,6 +138,7 @@ class WordEncoder(Encoder):
     """For vocabularies that drop white space and mark word ends: neither token, special string nor normalisation reaches
     across ASCII white space, and each unit ends with the one id in it that is marked."""
 
+    ODD = OTHER_ARROW
     UNIT = re.compile(rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+")
     WORD = re.compile(rf"[{LETTERS}]+")
     SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
@@ -107,8 +148,11 @@ class WordEncoder(Encoder):
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
-    def units(self, text: str) -> list[str]:
-        return self.UNIT.findall(text.lower())
+    def pieces(self, texts: pa.Array) -> pa.ListArray:
+        return pc.ascii_split_whitespace(pc.utf8_lower(texts))
+
+    def plain(self, piece: str) -> str:
+        return piece.lower()
 
     def stretches(self, text: str) -> list[str]:
         return [w for w in self.SPACE.split(text) if w]
@@ -124,20 +168,25 @@ class WordEncoder(Encoder):
 class ByteEncoder(Encoder):
     """For byte-level vocabularies: ids stand for bytes one to one, so that units of known length can be told apart."""
 
+    ODD = OTHER_ARROW + r"|[ \n] |[ ]\n|\t|\r|^ | $"  # next to other white space, a space isn't a start by itself
     UNIT = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
     WORD = re.compile(rf" [{LETTERS}]+")
     START = re.compile(r"(?<=\S)(?=[ \n]\S)")  # a token starts at a single space or line feed between two other characters
+    BARE = "\0"  # before a piece that no space goes before; such texts hold no such character
 
     def __init__(self, path: str):
         super().__init__(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
 
-    def units(self, text: str) -> list[str]:
-        return self.UNIT.findall(text)
+    def pieces(self, texts: pa.Array) -> pa.ListArray:
+        return pc.split_pattern(pc.binary_join_element_wise(self.BARE, texts, ""), " ")
+
+    def plain(self, piece: str) -> str:
+        return piece[1:] if piece[:1] == self.BARE else " " + piece
 
     def stretches(self, text: str) -> list[str]:
-        return [w for w in self.START.split(text) if w]
+        return [self.BARE + w for w in self.START.split(text) if w]
 
     def words(self, words: list[str]) -> list[bytes]:
         ids = self.together("".join(words))

@@ -70,7 +70,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows: list[tuple] = []
-                for k, found in enumerate(encoder.encode(part.column("text").to_pylist())):
+                for k, found in enumerate(encoder.encode(part.column("text"))):
                     ids = np.frombuffer(found + ending, "<u2").astype("<u4")
                     first = (len(ids) - 1) % length + 1
                     edges = [0, *range(first, len(ids) + 1, length)]
