@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from adfeat.llm.common import shared_dir, text_key
-from adfeat.llm.encoding import WordEncoder
+from adfeat.llm.encoding import WordEncoder, of_worker
 
 LENGTH, ROWS, END = 2048, 256, 1  # ids of a sequence, sequences of a record batch, id that ends a document
 MANIFEST = "part int, ids_file string, index_file string, n_documents long, n_tokens long"
@@ -52,7 +52,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH, ro
     """
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, name = WordEncoder(tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex
+        encoder, part, name = of_worker(WordEncoder, tokenizer), TaskContext.get().partitionId(), uuid.uuid4().hex
         ending, out, index, pending, local, documents = np.array([end], "<u2").tobytes(), None, None, bytearray(), 0, 0
         uris = [f"{folder}/{part:06d}-{name}.{kind}.arrow" for kind in ("ids", "index")]
         streams: list = []

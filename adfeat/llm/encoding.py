@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-REMEMBERED, LONGEST = 1_000_000, 64  # pieces and units kept per worker, and their most characters
-STEP = 4_000_000  # bytes encoded at a time
+PIECES, UNITS, LONGEST = 400_000, 800_000, 64  # pieces and units kept per worker, and their most characters
+STEP = 3_000_000  # bytes encoded at a time
 
 #: Texts of these characters only (ASCII, and letters of Latin-1, which no normalisation changes) are cut into the tokenizer's
 #: own units here; "<|" could begin a special string.
@@ -31,6 +33,15 @@ def load(path: str):
     return made
 
 
+def of_worker(kind: type, path: str) -> Encoder:
+    """The worker process's encoder, with what it remembers from the tasks before."""
+    state = sys.modules.setdefault("_text_encoders", types.ModuleType("_text_encoders")).__dict__
+    name = f"{kind.__name__} {path}"
+    if name not in state:
+        state[name] = kind(path)
+    return state[name]
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text, null as empty, without a detour through str."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
@@ -92,7 +103,7 @@ class Encoder:
         found = list(map(known.get, pieces))
         made = self.fresh({piece for piece, ids in zip(pieces, found) if ids is None})
         found = [made[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
-        if len(known) + len(made) > REMEMBERED:
+        if len(known) + len(made) > PIECES:
             known.clear()
         known.update((piece, ids) for piece, ids in made.items() if len(piece) <= LONGEST)
         flat = np.frombuffer(b"".join(found), "<u2")
@@ -112,7 +123,7 @@ class Encoder:
         known.update(zip(words, self.words(words)))
         known.update(zip(others, self.library(others)))
         made = {piece: b"".join([known[unit] for unit in units]) for piece, units in split.items()}
-        if len(known) > REMEMBERED:
+        if len(known) > UNITS:
             known.clear()
         for unit in others:
             if len(unit) > LONGEST:

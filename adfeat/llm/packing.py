@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import numbered
-from adfeat.llm.encoding import ByteEncoder
+from adfeat.llm.encoding import ByteEncoder, of_worker
 
 LENGTH, END = 1024, 2  # ids of a sequence, id that ends a document
 
@@ -64,7 +64,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteEncoder(tokenizer)
+        encoder = of_worker(ByteEncoder, tokenizer)
         ending = np.array([end], "<u2").tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
