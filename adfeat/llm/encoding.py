@@ -12,13 +12,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECES, UNITS, LONGEST = 400_000, 800_000, 64  # pieces and units kept per worker, and their most characters
+PIECES, LONGEST = 1_000_000, 64  # pieces kept per worker, and their most characters
 STEP = 3_000_000  # bytes encoded at a time
 
-#: Texts of these characters only (ASCII, and letters of Latin-1, which no normalisation changes) are cut into the tokenizer's
-#: own units here; "<|" could begin a special string.
-OTHER = re.compile(r"[^\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]|<\|")
-OTHER_ARROW = r"[^\t\n\r\x20-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]|<\|"
+#: Usual texts hold ASCII and letters of Latin-1 only, which no normalisation changes; "<|" could begin a special string.
+OTHER = r"[^\t\n\r\x20-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]|<\|"
 LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
 
 
@@ -60,31 +58,25 @@ def steps(column: pa.Array) -> Iterator[pa.Array]:
 class Encoder:
     """Token ids of texts as 16-bit numbers, by the library.
 
-    A text is cut into pieces between which the tokenizer starts anew, and a new piece into the units that it encodes apart
-    from each other. Both are remembered; new units go to the library many at a time, where the ids of each can be told apart.
+    A text is cut into pieces between which the tokenizer starts anew. Their ids are remembered; new pieces go to the library
+    many at a time, as one text in which the ids of each can be told apart.
     """
 
     ODD: str  # texts that go another way, as a pattern of Arrow
-    WORD: re.Pattern
-    UNIT: re.Pattern
 
     def __init__(self, path: str):
-        self.tokenizer, self.known, self.unit_ids = load(path), {}, {}
+        self.tokenizer, self.known = load(path), {}
 
     def pieces(self, texts: pa.Array) -> pa.ListArray:
         """The pieces of usual texts."""
         raise NotImplementedError
 
-    def plain(self, piece: str) -> str:
-        """What a piece stands for."""
-        return piece
-
     def stretches(self, text: str) -> list[str]:
-        """The pieces of any text."""
+        """The pieces of any text, as they stand there."""
         raise NotImplementedError
 
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of new units that are words."""
+    def fresh(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces not seen before."""
         raise NotImplementedError
 
     def encode(self, column: pa.Array) -> Iterator[bytes]:
@@ -101,10 +93,12 @@ class Encoder:
         coded = lists.flatten().dictionary_encode()
         pieces, codes, known = coded.dictionary.to_pylist(), coded.indices.to_numpy(), self.known
         found = list(map(known.get, pieces))
-        made = self.fresh({piece for piece, ids in zip(pieces, found) if ids is None})
+        new = [piece for piece, ids in zip(pieces, found) if ids is None]
+        made = dict(zip(new, self.fresh(new)))
         found = [made[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
-        if len(known) + len(made) > PIECES:
+        if len(known) + len(made) > PIECES:  # what this run uses stays
             known.clear()
+            made = dict(zip(pieces, found))
         known.update((piece, ids) for piece, ids in made.items() if len(piece) <= LONGEST)
         flat = np.frombuffer(b"".join(found), "<u2")
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
@@ -114,29 +108,10 @@ class Encoder:
         edges = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [out[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())]
 
-    def fresh(self, pieces: set[str]) -> dict[str, bytes]:
-        """Ids of pieces not seen before, by way of their units."""
-        known, split = self.unit_ids, {piece: self.UNIT.findall(self.plain(piece)) for piece in pieces}
-        units = {unit for units in split.values() for unit in units if unit not in known}
-        words = list(filter(self.WORD.fullmatch, units))
-        others = list(units.difference(words))
-        known.update(zip(words, self.words(words)))
-        known.update(zip(others, self.library(others)))
-        made = {piece: b"".join([known[unit] for unit in units]) for piece, units in split.items()}
-        if len(known) > UNITS:
-            known.clear()
-        for unit in others:
-            if len(unit) > LONGEST:
-                known.pop(unit, None)
-        return made
-
     def unusual(self, text: str) -> bytes:
-        """Ids of a text with OTHER characters: the stretches that hold some go to the library as they are."""
+        """Ids of a text by way of its stretches."""
         parts = self.stretches(text)
-        usual = self.fresh({part for part in parts if not OTHER.search(part.removeprefix("\0"))})
-        odd = list({part for part in parts if part not in usual})
-        made = dict(zip(odd, self.library([part.removeprefix("\0") for part in odd])))
-        return b"".join([usual[part] if part in usual else made[part] for part in parts])
+        return b"".join(self.library(parts))
 
     def library(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u2").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -147,11 +122,10 @@ class Encoder:
 
 class WordEncoder(Encoder):
     """For vocabularies that drop white space and mark word ends: neither token, special string nor normalisation reaches
-    across ASCII white space, and each unit ends with the one id in it that is marked."""
+    across ASCII white space, and each unit of a piece ends with the one id in it that is marked."""
 
-    ODD = OTHER_ARROW
+    ODD = OTHER
     UNIT = re.compile(rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+")
-    WORD = re.compile(rf"[{LETTERS}]+")
     SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 
     def __init__(self, path: str):
@@ -162,28 +136,25 @@ class WordEncoder(Encoder):
     def pieces(self, texts: pa.Array) -> pa.ListArray:
         return pc.ascii_split_whitespace(pc.utf8_lower(texts))
 
-    def plain(self, piece: str) -> str:
-        return piece.lower()
-
     def stretches(self, text: str) -> list[str]:
         return [w for w in self.SPACE.split(text) if w]
 
-    def words(self, words: list[str]) -> list[bytes]:
-        ids = self.together(" ".join(words))
-        edges = np.flatnonzero(self.ends[ids]) + 1
-        if len(edges) != len(words):
-            return self.library(words)
-        return [ids[a:b].tobytes() for a, b in zip([0, *edges[:-1].tolist()], edges.tolist())]
+    def fresh(self, pieces: list[str]) -> list[bytes]:
+        ids = self.together(" ".join(pieces))
+        marked = np.concatenate([[0], np.flatnonzero(self.ends[ids]) + 1])
+        units = np.cumsum([0, *[len(self.UNIT.findall(piece)) for piece in pieces]])
+        if units[-1] != len(marked) - 1:
+            return self.library(pieces)
+        edges = marked[units].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(edges, edges[1:])]
 
 
 class ByteEncoder(Encoder):
-    """For byte-level vocabularies: ids stand for bytes one to one, so that units of known length can be told apart."""
+    """For byte-level vocabularies: ids stand for bytes one to one, so that pieces of known length can be told apart."""
 
-    ODD = OTHER_ARROW + r"|[ \n] |[ ]\n|\t|\r|^ | $"  # next to other white space, a space isn't a start by itself
-    UNIT = re.compile(rf" ?[{LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s0-9{LETTERS}]+|\s+(?!\S)|\s+")
-    WORD = re.compile(rf" [{LETTERS}]+")
+    ODD = OTHER + r"|[ \n] | \n|\t|\r|^ | $"  # next to other white space, a space isn't a start by itself
     START = re.compile(r"(?<=\S)(?=[ \n]\S)")  # a token starts at a single space or line feed between two other characters
-    BARE = "\0"  # before a piece that no space goes before; such texts hold no such character
+    BARE = "\0"  # before a piece that no space goes before; usual texts hold no such character
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -193,17 +164,18 @@ class ByteEncoder(Encoder):
     def pieces(self, texts: pa.Array) -> pa.ListArray:
         return pc.split_pattern(pc.binary_join_element_wise(self.BARE, texts, ""), " ")
 
-    def plain(self, piece: str) -> str:
-        return piece[1:] if piece[:1] == self.BARE else " " + piece
-
     def stretches(self, text: str) -> list[str]:
-        return [self.BARE + w for w in self.START.split(text) if w]
-
-    def words(self, words: list[str]) -> list[bytes]:
-        ids = self.together("".join(words))
-        ends = np.cumsum(self.lengths[ids])
-        wanted = np.cumsum([len(w.encode()) for w in words])
-        edges = np.searchsorted(ends, wanted)
-        if len(ids) and not (ends[np.minimum(edges, len(ends) - 1)] == wanted).all():
-            return self.library(words)
-        return [ids[a:b].tobytes() for a, b in zip([0, *(edges[:-1] + 1).tolist()], (edges + 1).tolist())]
+        return [w for w in self.START.split(text) if w]
+
+    def fresh(self, pieces: list[str]) -> list[bytes]:
+        spaced = [" " + piece for piece in pieces if piece[:1] != self.BARE]
+        bare = iter(self.library([piece[1:] for piece in pieces if piece[:1] == self.BARE]))
+        ids = self.together("".join(spaced))
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(piece.encode()) for piece in spaced])
+        last = np.searchsorted(ends, wanted)
+        if len(ids) and (ends[np.minimum(last, len(ends) - 1)] == wanted).all():
+            edges = [0, *(last + 1).tolist()]
+            made = iter([ids[a:b].tobytes() for a, b in zip(edges, edges[1:])])
+        else:
+            made = iter(self.library(spaced))
+        return [next(bare) if piece[:1] == self.BARE else next(made) for piece in pieces]
