@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -67,18 +68,18 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
         encoder = of_worker(ByteEncoder, tokenizer)
         ending = np.array([end], "<u2").tobytes()
         for batch in batches:
+            encoded = encoder.encode(batch.column("text"))
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 rows: list[tuple] = []
-                for k, found in enumerate(encoder.encode(part.column("text"))):
+                for k, found in enumerate(islice(encoded, part.num_rows)):
                     ids = np.frombuffer(found + ending, "<u2").astype("<u4")
                     first = (len(ids) - 1) % length + 1
                     edges = [0, *range(first, len(ids) + 1, length)]
                     rows += [(k, n, a, b - a, ids[a:b].tobytes()) for n, (a, b) in enumerate(zip(edges, edges[1:]))]
-                if rows:
-                    doc, n, start, size, ids = zip(*rows)
-                    columns = [part.column("doc_id").take(pa.array(doc)), pa.array(n, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
+                doc, n, start, size, ids = zip(*rows)
+                columns = [part.column("doc_id").take(pa.array(doc)), pa.array(n, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
 
     return numbered(docs.select("doc_id", "text"), "length", task, f"doc_id {kind}, piece int, start long, length long, ids binary")
 
