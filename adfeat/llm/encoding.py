@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import os
 import re
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECES, LONGEST = 1_000_000, 64  # pieces kept per worker, and their most characters
-STEP = 3_000_000  # bytes encoded at a time
+PIECES, LONGEST = 300_000, 64  # pieces kept per task, and their most characters
+STEP = 2_000_000  # bytes encoded at a time
 
 #: Usual texts hold ASCII and letters of Latin-1 only, which no normalisation changes; "<|" could begin a special string.
 OTHER = r"[^\t\n\r\x20-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]|<\|"
@@ -31,15 +29,6 @@ def load(path: str):
     return made
 
 
-def of_worker(kind: type, path: str) -> Encoder:
-    """The worker process's encoder, with what it remembers from the tasks before."""
-    state = sys.modules.setdefault("_text_encoders", types.ModuleType("_text_encoders")).__dict__
-    name = f"{kind.__name__} {path}"
-    if name not in state:
-        state[name] = kind(path)
-    return state[name]
-
-
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text, null as empty, without a detour through str."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

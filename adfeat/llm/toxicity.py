@@ -29,7 +29,7 @@ class Hasher:
 
     def __call__(self, text: bytes) -> np.ndarray:
         known, found = self.known, set()
-        if len(known) > 500_000:
+        if len(known) > 150_000:
             known.clear()
         for word in set(text.translate(_CLEAN).split()):
             pair = known.get(word)
@@ -136,7 +136,8 @@ def scorer(weights: np.ndarray, bias: float) -> Callable[[], Callable[[pa.Array]
     def start() -> Callable[[pa.Array], np.ndarray]:
         hasher, dense = Hasher(), np.zeros(1 << BITS)
         dense[used] = values
-        return lambda texts: 1 / (1 + np.exp(-np.clip(np.array([dense[hasher(t)].sum() + bias for t in raw(texts)], float), -50, 50)))
+        logit = lambda texts: [dense[hasher(t)].sum() + bias for t in raw(texts)]
+        return lambda texts: 1 / (1 + np.exp(-np.clip(np.array([z for at in range(0, len(texts), 256) for z in logit(texts.slice(at, 256))], float), -50, 50)))
 
     return start
 
