@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from adfeat.llm.common import shared_dir, text_key
-from adfeat.llm.encoding import WordEncoder
+from adfeat.llm.encoding import WordEncoder, frugal
 
 LENGTH, ROWS, END = 2048, 256, 1  # ids of a sequence, sequences of a record batch, id that ends a document
 MANIFEST = "part int, ids_file string, index_file string, n_documents long, n_tokens long"
@@ -89,7 +89,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, length: int = LENGTH, ro
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "ids_file": uris[:1], "index_file": uris[1:], "n_documents": [documents], "n_tokens": [local]})
 
     ordered = docs.select("doc_id", "text", text_key().alias("text_key")).repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key")
-    return sorted(ordered.select("doc_id", "text").mapInArrow(task, MANIFEST).collect())
+    return sorted(ordered.select("doc_id", "text").mapInArrow(frugal(task), MANIFEST).collect())
 
 
 def index_schema(batch: pa.RecordBatch) -> pa.Schema:

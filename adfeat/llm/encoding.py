@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +32,21 @@ def load(path: str):
     return made
 
 
+def frugal(task: Callable) -> Callable:
+    """The task, which gives its memory back to the system when it ends: worker processes live on and add up."""
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """UTF-8 of each text, null as empty, without a detour through str."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import numbered
-from adfeat.llm.encoding import ByteEncoder
+from adfeat.llm.encoding import ByteEncoder, frugal
 
 LENGTH, END = 1024, 2  # ids of a sequence, id that ends a document
 
@@ -81,7 +81,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END
                 columns = [part.column("doc_id").take(pa.array(doc)), pa.array(n, pa.int32()), pa.array(start, pa.int64()), pa.array(size, pa.int64()), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids"])
 
-    return numbered(docs.select("doc_id", "text"), "length", task, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    return numbered(docs.select("doc_id", "text"), "length", frugal(task), f"doc_id {kind}, piece int, start long, length long, ids binary")
 
 
 def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end: int = END) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import cut, on_doc, text_key
-from adfeat.llm.encoding import load
+from adfeat.llm.encoding import WordEncoder, frugal, load
 
 CHUNK, OVERLAP, AGREE = 16_384, 512, 4  # characters of a chunk, of them shared with the next; tokens that must agree on both sides of a splice
 LIMIT = 2048
@@ -45,7 +45,7 @@ def summaries(tokenizer: str, overlap: int):
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = load(tokenizer)
-        for batch in batches:
+        for batch in (whole.slice(at, 32) for whole in batches for at in range(0, whole.num_rows, 32)):
             rows = batch.to_pydict()
             heads, tails, counts = [], [], []
             for first, last, before, text, found in zip(rows["first"], rows["last"], rows["before"], rows["text"], library.encode_batch(rows["text"], add_special_tokens=False)):
@@ -97,7 +97,7 @@ def count_long(long: DataFrame, tokenizer: str, chunk: int, overlap: int) -> Dat
         rows = todo.mapInArrow(chunks(chunk, overlap), f"doc_id {kind}, text_key long, chunk int, first long, last boolean, before string, text string")
         # One row per chunk, dealt out over all tasks, so that a huge text is no one task's work.
         dealt = rows.repartition("doc_id", "text_key", "chunk")
-        made = dealt.mapInArrow(summaries(tokenizer, overlap), SUMMARY.format(kind)).dropDuplicates(["doc_id", "text_key", "chunk"])
+        made = dealt.mapInArrow(frugal(summaries(tokenizer, overlap)), SUMMARY.format(kind)).dropDuplicates(["doc_id", "text_key", "chunk"])
         order = Window.partitionBy("doc_id", "text_key").orderBy("chunk")
         paired = made.select("doc_id", "text_key", "n", "tail", F.lead("head").over(order).alias("following"))
         parts = paired.mapInArrow(spliced, f"doc_id {kind}, text_key long, n long, apart boolean")
@@ -123,14 +123,13 @@ def count(docs: DataFrame, tokenizer: str, limit: int = LIMIT, chunk: int = CHUN
     kind = base.schema["doc_id"].dataType.simpleString()
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = load(tokenizer)
+        encoder = WordEncoder(tokenizer)
         for batch in batches:
-            found = library.encode_batch_fast(batch.column("text").to_pylist(), add_special_tokens=False)
-            n = pa.array([len(x) for x in found], pa.int64())
+            n = pa.array([len(ids) // 2 for ids in encoder.encode(batch.column("text"))], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), n], names=["doc_id", "n_bytes", "n_tokens"])
 
     sized = F.octet_length("text").cast("long").alias("n_bytes")
-    here = base.filter(F.length("text") <= chunk).select("doc_id", sized, "text").mapInArrow(short, f"doc_id {kind}, n_bytes long, n_tokens long")
+    here = base.filter(F.length("text") <= chunk).select("doc_id", sized, "text").mapInArrow(frugal(short), f"doc_id {kind}, n_bytes long, n_tokens long")
     long = base.filter(F.length("text") > chunk).withColumn("text_key", text_key())
     counted = count_long(long, tokenizer, chunk, overlap)
     there = on_doc(long.select("doc_id", "text_key", sized), counted, "inner").select("doc_id", "n_bytes", "n_tokens")

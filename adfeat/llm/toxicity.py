@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adfeat.llm.common import UPPER
-from adfeat.llm.encoding import raw
+from adfeat.llm.encoding import frugal, raw
 
 BITS, PREFIX = 18, 5  # hashed features, characters of a word's beginning that are a feature too
 POSITIVES, UNLABELLED = 6_000, 18_000  # most rows of the training sample
@@ -103,7 +103,7 @@ def features(docs: DataFrame) -> DataFrame:
             found = [hasher(t).astype("<i4").tobytes() for t in raw(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(found, pa.binary())], names=["positive", "features"])
 
-    return docs.select("positive", "text").mapInArrow(task, "positive boolean, features binary")
+    return docs.select("positive", "text").mapInArrow(frugal(task), "positive boolean, features binary")
 
 
 def sampled(df: DataFrame, bound: int, rows: int) -> DataFrame:
@@ -158,7 +158,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(of(batch.column("text")))], names=["doc_id", "held_out", "score"])
 
-    scored = docs.select("doc_id", (remainder() == 1).alias("held_out"), "text").mapInArrow(task, f"doc_id {kind}, held_out boolean, score double")
+    scored = docs.select("doc_id", (remainder() == 1).alias("held_out"), "text").mapInArrow(frugal(task), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
@@ -171,4 +171,4 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array(of(batch.column("text")) < THRESHOLD))
 
-    return docs.mapInArrow(task, docs.schema)
+    return docs.mapInArrow(frugal(task), docs.schema)
