@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECES, LONGEST = 300_000, 64  # pieces kept per task, and their most characters
+LONGEST = 64  # characters of a piece that is kept
 STEP = 2_000_000  # bytes encoded at a time
 
 #: Usual texts hold ASCII and letters of Latin-1 only, which no normalisation changes; "<|" could begin a special string.
@@ -69,6 +69,7 @@ class Encoder:
     many at a time, as one text in which the ids of each can be told apart.
     """
 
+    KEPT: int  # pieces remembered per task
     ODD: str  # texts that go another way, as a pattern of Arrow
 
     def __init__(self, path: str):
@@ -103,7 +104,7 @@ class Encoder:
         new = [piece for piece, ids in zip(pieces, found) if ids is None]
         made = dict(zip(new, self.fresh(new)))
         found = [made[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
-        if len(known) + len(made) > PIECES:  # what this run uses stays
+        if len(known) + len(made) > self.KEPT:  # what this run uses stays
             known.clear()
             made = dict(zip(pieces, found))
         known.update((piece, ids) for piece, ids in made.items() if len(piece) <= LONGEST)
@@ -131,6 +132,7 @@ class WordEncoder(Encoder):
     """For vocabularies that drop white space and mark word ends: neither token, special string nor normalisation reaches
     across ASCII white space, and each unit of a piece ends with the one id in it that is marked."""
 
+    KEPT = 1_000_000
     ODD = OTHER
     UNIT = re.compile(rf"[{LETTERS}]+|[0-9]|'s|'t|'re|'ve|'m|'ll|'d|[^\s0-9{LETTERS}]+")
     SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
@@ -159,6 +161,7 @@ class WordEncoder(Encoder):
 class ByteEncoder(Encoder):
     """For byte-level vocabularies: ids stand for bytes one to one, so that pieces of known length can be told apart."""
 
+    KEPT = 300_000
     ODD = OTHER + r"|[ \n] | \n|\t|\r|^ | $"  # next to other white space, a space isn't a start by itself
     START = re.compile(r"(?<=\S)(?=[ \n]\S)")  # a token starts at a single space or line feed between two other characters
     BARE = "\0"  # before a piece that no space goes before; usual texts hold no such character

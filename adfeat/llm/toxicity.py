@@ -14,7 +14,7 @@ from adfeat.llm.common import UPPER
 from adfeat.llm.encoding import frugal, raw
 
 BITS, PREFIX = 18, 5  # hashed features, characters of a word's beginning that are a feature too
-POSITIVES, UNLABELLED = 6_000, 18_000  # most rows of the training sample
+POSITIVES, UNLABELLED = 5_000, 13_000  # most rows of the training sample
 FEATURES, STEPS, RATE, DECAY = 2_000, 200, 0.1, 1e-4
 THRESHOLD = 0.7
 
