@@ -56,8 +56,10 @@ def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Positional TSV; a row with a wrong number of fields or a bad value stops the job."""
-    return spark.read.csv(path, sep="\t", schema=schema, mode="FAILFAST", quote="", escape="", enforceSchema=True)
+    """Positional TSV; a row with a wrong number of fields or a bad value stops the job. An empty text field stays empty."""
+    rows = spark.read.csv(path, sep="\t", schema=schema, mode="FAILFAST", quote="", escape="", enforceSchema=True)
+    texts = {c for c, kind in rows.dtypes if kind == "string"}
+    return rows.select(*[F.coalesce(c, F.lit("")).alias(c) if c in texts else F.col(c) for c in rows.columns])
 
 
 def read_calibration_model(spark: SparkSession, path: str) -> DataFrame:

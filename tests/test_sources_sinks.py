@@ -151,3 +151,10 @@ def test_snapshot_by_set(spark, tmp_path):
     back = stores.read_counters(spark, str(tmp_path / "dt=20240131"))
     assert counters.counter_cells(back).count() == 2
     assert (tmp_path / "dt=20240131" / "dim_set=ad_id").is_dir()
+
+
+def test_empty_text_survives_a_tsv_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([("", "a", 1), ("x", "", 2)], "pos_id string, ad_id string, imp long")
+    export.write_tsv(rows, str(tmp_path / "lines"))
+    back = stores.read_tsv(spark, str(tmp_path / "lines"), "pos_id string, ad_id string, imp long")
+    assert sorted(map(tuple, back.collect())) == [("", "a", 1), ("x", "", 2)]
