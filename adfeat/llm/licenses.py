@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import on_doc, small, text_key
+from adfeat.llm.common import let, on_doc, small, text_key
 
 _PERMISSION = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to
@@ -76,8 +76,7 @@ def canonical(text: Column) -> Column:
 
 def digest(text: Column) -> Column:
     """SHA-256 of the canonical text; null where nothing is left."""
-    made = canonical(text)
-    return F.when(made != "", F.sha2(made, 256))
+    return let(canonical(text), lambda made: F.when(made != "", F.sha2(made, 256)))
 
 
 def known_digests(spark: SparkSession, licenses: list[tuple[str, str]]) -> DataFrame:
@@ -98,7 +97,8 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
     base = docs.select("doc_id", "text", text_key().alias("text_key"))
     text = F.coalesce(F.col("text"), F.lit(""))
     units = F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\t\r]*\n"), F.split(text, "\n")))
-    digests = F.filter(F.array_distinct(F.transform(units, digest)), lambda d: d.isNotNull())
+    made = F.array_distinct(F.transform(units, canonical))
+    digests = F.transform(F.filter(made, lambda m: m != ""), lambda m: F.sha2(m, 256))
     known = small(known, known.count(), 128)
     rows = base.select("doc_id", "text_key", F.explode(digests).alias("digest"))
     found = rows.join(known, "digest").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("license")).alias("notices"))
