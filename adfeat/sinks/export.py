@@ -10,11 +10,6 @@ from adfeat.config import (
 from adfeat.functions.jsontext import open_object
 from adfeat.functions.keys import counter_key, dim_text
 from adfeat.operators.counters import counter_cells
-from adfeat.operators.skew import short_list
-
-# Users with more counter keys than this get several parts. The list of such users is bounded by
-# keys / MAX_KEYS_PER_PART (5 million for 10^12 keys), which makes broadcasting it safe.
-MAX_KEYS_PER_PART = 200_000
 
 
 def write_hour_lines(lines: DataFrame, root: str, hour: str, mode: str = "errorifexists") -> None:
@@ -56,24 +51,20 @@ def user_counter_entries(
     counters: DataFrame,
     published_at: int,
     variant: Variant = MAIN,
-    max_keys: int = MAX_KEYS_PER_PART,
+    parts: int = 1,
 ) -> DataFrame:
     """``(entity_key, part, value, expire_at)`` with all counters of a user as one JSON document.
 
-    A user with more than ``max_keys`` counter keys gets several parts by key hash, so that no task
-    builds an unbounded document; ordinary users have part 0 only.
+    ``parts`` above 1 splits the document of every user by key hash, whatever its size; the part is then
+    the end of the entity key, ``#0`` to ``#parts-1``, so that no part overwrites another. Readers must
+    use the same number (:func:`adfeat.sources.stores.lookup_users`).
     """
     cells = counter_cells(counters, variant, by=("user_id",)).select("user_id", counter_key().alias("k"), "cell")
-    # counting a hash of the whole cell keeps all its columns, so that count and documents read the same shuffle
-    n = F.count(F.nullif(F.xxhash64("k", "cell"), F.lit(0)))
-    big = cells.groupBy(F.col("user_id").alias("_u")).agg(n.alias("n")).where(F.col("n") > max_keys)
-    big = short_list(big.select("_u", F.ceil(F.col("n") / max_keys).alias("_parts")), ["_u"])
-    sized = cells.join(F.broadcast(big), F.col("user_id").eqNullSafe(F.col("_u")), "left")
-    part = F.pmod(F.xxhash64("k"), F.coalesce("_parts", F.lit(1))).cast("int")
-    docs = sized.groupBy("user_id", part.alias("part")).agg(
+    part = F.pmod(F.xxhash64("k"), F.lit(parts)).cast("int")
+    docs = cells.groupBy("user_id", part.alias("part")).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("k", "cell")))).alias("storeUserCounter")
     )
-    return _entries(docs, USER_COUNTER_KEY_PREFIX, F.to_json(F.struct("storeUserCounter")), published_at)
+    return _entries(docs, USER_COUNTER_KEY_PREFIX, F.to_json(F.struct("storeUserCounter")), published_at, parts)
 
 
 def user_profile_entries(profiles: DataFrame, published_at: int) -> DataFrame:
@@ -83,9 +74,10 @@ def user_profile_entries(profiles: DataFrame, published_at: int) -> DataFrame:
     return _entries(profiles.withColumn("part", F.lit(0)), USER_PROFILE_KEY_PREFIX, value, published_at)
 
 
-def _entries(docs: DataFrame, prefix: str, value: Column, published_at: int) -> DataFrame:
+def _entries(docs: DataFrame, prefix: str, value: Column, published_at: int, parts: int = 1) -> DataFrame:
+    end = [F.lit("#"), F.col("part").cast("string")] if parts > 1 else []
     return docs.select(
-        F.concat(F.lit(prefix), dim_text("user_id")).alias("entity_key"), "part", value.alias("value"),
+        F.concat(F.lit(prefix), dim_text("user_id"), *end).alias("entity_key"), "part", value.alias("value"),
         F.lit(published_at + ENTRY_TTL_SECONDS).cast("bigint").alias("expire_at"),
     )
 

@@ -72,10 +72,16 @@ def read_query(spark: SparkSession, url: str, query: str, **options: str) -> Dat
     return spark.read.format("jdbc").options(url=url, dbtable=f"({query}) q", **options).load()
 
 
-def lookup_users(requests: DataFrame, entries: DataFrame, prefix: str = USER_COUNTER_KEY_PREFIX, hot_rows: int = HOT_ROWS) -> DataFrame:
+def lookup_users(
+    requests: DataFrame, entries: DataFrame, prefix: str = USER_COUNTER_KEY_PREFIX, hot_rows: int = HOT_ROWS, parts: int = 1
+) -> DataFrame:
     """``requests`` (column ``user_id``) with the published value of each user; every request stays.
 
-    An entry split over several parts gives one row per part."""
-    wanted = requests.withColumn("entity_key", F.concat(F.lit(prefix), F.col("user_id").cast("string")))
+    Entries published in several ``parts`` give one row per part, without a value where a user has none."""
+    key = F.concat(F.lit(prefix), F.col("user_id").cast("string"))
+    wanted = requests.withColumn("entity_key", key)
+    if parts > 1:
+        ends = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+        wanted = requests.withColumn("_end", ends).withColumn("entity_key", F.concat(key, F.lit("#"), F.col("_end").cast("string"))).drop("_end")
     found = entries.select("entity_key", "part", "value")
     return join_hot(wanted, found, ["entity_key"], "left", hot_rows)

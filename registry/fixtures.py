@@ -29,17 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a table in fewer files than there are cores, dealt out to all of them by a key hash.
-
-    A table in many files is read in parallel anyway and left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores, *keys)
-
-
 def accu(spark: SparkSession, sf_dir: str, users: bool = False) -> DataFrame:
     """Pre-accumulated counts; every 13th creative id is missing."""
-    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+    line = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
     rows = line.join(part, line.l_partkey == part.p_partkey)
     if users:
@@ -66,21 +58,22 @@ def accu(spark: SparkSession, sf_dir: str, users: bool = False) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as a stream of its files."""
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")  # a pattern may name a file or a folder
 
 
 def scratch(spark: SparkSession) -> str:
     """New folder for what a query writes: in the shared folder the cluster names, else a temporary one."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return f"{shared}/{uuid.uuid4().hex}" if shared else tempfile.mkdtemp(prefix="run-", dir="/tmp")
 
 
-def events(spark: SparkSession, sf_dir: str, heavy: bool = False, rows: DataFrame | None = None) -> DataFrame:
-    """Events with the ad dimensions derived from ``props``; ``heavy`` spreads them for costly row work."""
+def events(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Events with the ad dimensions derived from ``props``."""
     k = F.get_json_object("props", "$.k").cast("int")
     if rows is None:
         rows = table(spark, sf_dir, "events")
-        rows = spread(rows, "event_id") if heavy else rows
     return rows.withColumn("k", k).select(
         "event_id", "user_id", "event_type", "value", "k", "ts",
         F.col("event_id").cast("string").alias("requestid"),
@@ -99,7 +92,7 @@ def events(spark: SparkSession, sf_dir: str, heavy: bool = False, rows: DataFram
 
 def cpi_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw impression and click log with the ad fields inside a JSON column."""
-    e = events(spark, sf_dir, heavy=True)
+    e = events(spark, sf_dir)
     return e.select(
         "requestid", "beyla_id", F.lit("EG").alias("country"), "pos_id", "package_name",
         F.coalesce("event_name", "event_type").alias("event_name"),
@@ -147,7 +140,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One response document per line item with one or two scored ads; every seventh position has none."""
-    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+    line = table(spark, sf_dir, "lineitem")
     number = F.col("l_linenumber")
 
     def ad(i: int):
@@ -179,7 +172,7 @@ def ads_lines(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
         )
 
     ads = F.when(k % 7 != 0, F.array(ad(0), ad(1)))
-    docs = events(spark, sf_dir, heavy=True).select(F.concat(
+    docs = events(spark, sf_dir).select(F.concat(
         F.lit("{"), F.coalesce(F.concat(F.lit(f'"{field}":'), F.to_json(ads, {"ignoreNullFields": "false"})), F.lit('"other":1')), F.lit("}")
     ).alias("value"))
     return docs
@@ -269,7 +262,7 @@ def rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_lines(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Event messages in their envelope, one or two items each; those of a low value are malformed."""
-    e = events(spark, sf_dir, heavy=True, rows=rows)
+    e = events(spark, sf_dir, rows=rows)
     item = F.struct("ad_package_name", F.col("ad_id").alias("campaign_id"), "c_id")
     other = F.struct(
         F.when(F.col("k") % 6 != 0, F.col("ad_package_name")).alias("ad_package_name"),

@@ -106,16 +106,21 @@ def test_allow_list_and_model(spark, tmp_path):
 LONG = "user_id string, dim_set string, dim_key string, window_tag string, imp bigint, click bigint, attr_install bigint"
 
 
-def test_counter_entries_split_large_users(spark):
+def test_counter_entries_in_parts_have_keys_of_their_own(spark):
     rows = [("big", "user_id#ad_id", f"big#{i}", "7d", 1, 0, 0) for i in range(50)] + [("small", "user_id", "small", "7d", 2, 0, 1)]
-    entries = export.user_counter_entries(spark.createDataFrame(rows, LONG), 1000, max_keys=10).collect()
-    small = [e for e in entries if e.entity_key == "nt:ads:user_counter:small"]
-    assert [(e.part, json.loads(e.value), e.expire_at) for e in small] == [
-        (0, {"storeUserCounter": {"user_id#small": {"countFeatures7d": {"imp": 2, "attrInstall": 1}}}}, 1000 + 259200)
-    ]
-    big = [json.loads(e.value)["storeUserCounter"] for e in entries if e.entity_key == "nt:ads:user_counter:big"]
-    assert 1 < len(big) <= 5
+    counters = spark.createDataFrame(rows, LONG)
+    whole = export.user_counter_entries(counters, 1000).collect()
+    assert sorted((e.entity_key, e.part) for e in whole) == [("nt:ads:user_counter:big", 0), ("nt:ads:user_counter:small", 0)]
+    small = next(e for e in whole if e.entity_key.endswith("small"))
+    assert json.loads(small.value) == {"storeUserCounter": {"user_id#small": {"countFeatures7d": {"imp": 2, "attrInstall": 1}}}}
+    assert small.expire_at == 1000 + 259200
+    entries = export.user_counter_entries(counters, 1000, parts=4)
+    keys = [e.entity_key for e in entries.collect()]
+    assert len(keys) == len(set(keys)) and all(k.split("#")[-1] in "0123" for k in keys)
+    found = stores.lookup_users(spark.createDataFrame([("big",), ("x",)], "user_id string"), entries, parts=4).collect()
+    big = [json.loads(r.value)["storeUserCounter"] for r in found if r.user_id == "big" and r.value]
     assert sorted(k for b in big for k in b) == sorted(f"user_id#ad_id#big#{i}" for i in range(50))
+    assert [r.value for r in found if r.user_id == "x"] == [None] * 4
 
 
 def test_lookup_keeps_every_request(spark):
