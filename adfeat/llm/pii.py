@@ -19,6 +19,9 @@ SHAPES: dict[str, tuple[str, str]] = {
 }
 #: Unseen identifiers: runs of six or more such characters with a digit.
 TOKEN = r"(?<![A-Za-z0-9._%+@/-])(?=[A-Za-z0-9._%+@/-]{6})[A-Za-z._%+@/-]*+[0-9][A-Za-z0-9._%+@/-]*+"
+#: The same in groups of digits: two or more, each maybe in parentheses, joined by nothing but those, one space or one hyphen.
+GROUP = r"(?:\([0-9]++\)|[0-9]++(?![._]?[A-Za-z0-9_%+@/]))"
+GROUPS = rf"(?<![A-Za-z0-9._%+@/-])\+?{GROUP}(?:[\x20-]?{GROUP})++"
 ROUNDS, SUPPORT, SURE = 3, 3, 0.6  # scoring rounds, distinct seeds behind a pattern, least score of patterns and instances
 SPAN = "array<struct<start:int,kind:int,end:int,instance:string,patterns:array<string>>>"
 
@@ -81,7 +84,8 @@ def matches(text: Column, needs: str, shape: str, kind: int) -> Column:
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """doc_id, text_key, base (personal data by shape) and tokens (other runs with a digit), each as spans with patterns."""
+    """doc_id, text_key, base (personal data by shape) and tokens (other runs with a digit, and groups of digits: these may
+    overlap or be equal), each as spans with patterns."""
     text = F.coalesce(F.col("text"), F.lit(""))
     base = docs.select("doc_id", text_key().alias("text_key"), text.alias("text"))
 
@@ -89,7 +93,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
         return F.filter(matches(F.col("text"), *SHAPES[kind], n), lambda s: holds(kind, s["instance"]))
 
     kinds = [valid(kind, n) for n, kind in enumerate(KINDS)]
-    tokens = matches(F.col("text"), "[0-9]", TOKEN, -1)
+    grouped = F.filter(matches(F.col("text"), r"[0-9][\x20()-]++[0-9]", GROUPS, -1), lambda s: F.length(s["instance"]) >= 6)
+    tokens = F.concat(matches(F.col("text"), "[0-9]", TOKEN, -1), grouped)
     found = base.select("doc_id", "text_key", F.sort_array(F.concat(*kinds)).alias("base"), tokens.alias("tokens"))
     apart = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
     return saved(found.withColumn("tokens", F.filter("tokens", apart)))
@@ -100,24 +105,40 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sur
 
     Seeds are the base matches, sure of their kind. A pattern's score for a kind is what its instances' scores sum to, over
     their number and 1; an unknown instance's score is that of its best pattern. Both are computed in turn over all
-    documents; only patterns with `support` distinct seeds count.
+    documents; only patterns with `support` distinct seeds count. Instances accepted after the scoring rounds are seeds
+    from then on, with their scores, so that further patterns reach the support; this is repeated until no instance is
+    added, however long the chain.
     """
     sides = [found.select(F.explode(c).alias("s")).select("s.instance", "s.kind", F.explode("s.patterns").alias("pattern")) for c in ("base", "tokens")]
     edges = cut(reduce(DataFrame.unionByName, sides).distinct())
-    degree = edges.groupBy("pattern").agg(F.countDistinct("instance").alias("n"))
-    seeds = edges.filter("kind >= 0").groupBy("pattern", "kind").agg(F.count("*").cast("double").alias("mass"))
-    # Only patterns that enough seeds induce can ever count: the rest of the graph is dropped here.
-    able = cut(seeds.filter(F.col("mass") >= support).join(degree, "pattern"))
-    rows = able.count()
-    unknown = cut(edges.filter("kind < 0").select("instance", "pattern").join(small(able.select("pattern").distinct(), rows, 128), "pattern", "left_semi"))
-    scores = able.select("pattern", "kind", (F.col("mass") / (F.col("n") + 1)).alias("score"))
-    learned = None
-    for _ in range(rounds):
-        learned = cut(unknown.join(small(scores, rows, 128), "pattern").groupBy("instance", "kind").agg(F.max("score").alias("score")))
-        gained = unknown.join(learned, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("more"))
-        scores = cut(able.join(gained, ["pattern", "kind"], "left").select(
-            "pattern", "kind", ((F.col("mass") + F.coalesce("more", F.lit(0.0))) / (F.col("n") + 1)).alias("score")))
-    return scores.filter(F.col("score") >= sure), learned.filter(F.col("score") >= sure)
+    shape = F.count("*").alias("seeds"), F.count("*").cast("double").alias("mass")
+    base = cut(edges.filter("kind >= 0").groupBy("pattern", "kind").agg(*shape))
+    accepted, known = edges.sparkSession.createDataFrame([], "instance string, kind int, score double"), 0
+    while True:
+        # Only patterns that enough seeds induce can count by now: the rest of the graph waits for further seeds.
+        learners = edges.filter("kind < 0").select("instance", "pattern").join(small(accepted, known, 128), "instance")
+        gained = learners.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"), F.lit(0.0).alias("mass"))
+        able = base.unionByName(gained).groupBy("pattern", "kind").agg(F.sum("seeds").alias("seeds"), F.sum("mass").alias("mass"))
+        able = cut(able.filter(F.col("seeds") >= support))
+        rows = able.count()
+        near = cut(edges.join(small(able.select("pattern").distinct(), rows, 128), "pattern", "left_semi"))
+        able = cut(able.join(near.groupBy("pattern").agg(F.countDistinct("instance").alias("n")), "pattern"))
+        unknown = near.filter("kind < 0").select("instance", "pattern")
+
+        def scored(learned: DataFrame, able: DataFrame = able, unknown: DataFrame = unknown) -> DataFrame:
+            more = unknown.join(learned, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("more"))
+            return cut(able.join(more, ["pattern", "kind"], "left").select(
+                "pattern", "kind", ((F.col("mass") + F.coalesce("more", F.lit(0.0))) / (F.col("n") + 1)).alias("score")))
+
+        scores, learned = scored(accepted), accepted
+        for _ in range(rounds if rows else 0):
+            met = unknown.join(small(scores, rows, 128), "pattern").select("instance", "kind", "score")
+            learned = cut(met.unionByName(accepted).groupBy("instance", "kind").agg(F.max("score").alias("score")))
+            scores = scored(learned)
+        accepted = cut(learned.filter(F.col("score") >= sure))
+        before, known = known, accepted.count()
+        if known == before:
+            return scores.filter(F.col("score") >= sure), accepted
 
 
 def discovered(found: DataFrame, instances: DataFrame) -> DataFrame:
@@ -133,8 +154,8 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id, text_key, base and spans (both sorted arrays of start, kind, end) of each row.
 
     Base spans have fixed shapes. Their contexts induce lexical patterns; patterns and other identifier-like runs score each
-    other over the whole corpus, and runs that sure patterns lead to become spans of that kind wherever they occur. Places
-    are code points, ends exclusive; kind is an index of KINDS. Null and empty texts have no spans; repeated rows are given
+    other over the whole corpus, and runs that sure patterns lead to become spans of that kind wherever they occur, and
+    induce patterns in turn. Places are code points, ends exclusive; kind is an index of KINDS. Null and empty texts have no spans; repeated rows are given
     each; null doc_ids are kept; an empty table gives no rows; other columns are ignored.
     """
     found = occurrences(docs)

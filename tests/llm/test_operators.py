@@ -199,6 +199,28 @@ def test_pii_patterns_find_unseen_identifiers(spark):
     assert redacted[0] == "please call me at [PHONE] today" and redacted[23] == "no data" and len(redacted) == len(rows)
 
 
+def found_spans(spark, rows):
+    return {r.doc_id: r.text for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", pii.as_text(F.col("spans")).alias("text")).collect()}
+
+
+def test_pii_accepted_instances_induce_patterns(spark):
+    rows = [(k, f"please call me at +1 555 010 10{k:02d} today") for k in range(30)]
+    rows += [(100 + k, text.format(f"555-01{k}-771")) for k in range(10, 30) for text in ("please call me at {} today", "she said my extension is {} now")]
+    rows += [(200 + k, text.format(f"555-02{k}-771")) for k in range(10, 18) for text in ("she said my extension is {} now", "ask our front desk under {} always")]
+    rows += [(1000, "well my extension is 555-0777-001 then"), (1001, "the front desk under 555-0777-002 maybe"), (1002, "version 123456 is out")]
+    spans = found_spans(spark, rows)
+    assert spans[1000] == "phone:21:33" and spans[1001] == "phone:21:33" and spans[1002] == ""
+
+
+def test_pii_finds_identifiers_in_groups(spark):
+    rows = [(k, f"please call me at +1 555 010 10{k:02d} today") for k in range(8)]
+    rows += [(20, "please call me at 555 0199 771 today"), (21, "please call me at (555) 0199-772 today"), (22, "lot 555 0199 771, (555) 0199-772."),
+             (23, "items 12 345.67 and 555 0199 x"), (24, "lot 1 2 3 4 5"), (25, "please call me at (555)0199773.")]
+    spans = found_spans(spark, rows)
+    assert spans[20] == "phone:18:30" and spans[21] == "phone:18:32" and spans[22] == "phone:4:16,phone:18:32"
+    assert spans[23] == spans[24] == "" and spans[25] == "phone:18:30"
+
+
 def brute_classes(rows):
     shingler = neardup.Shingler()
     sets = [shingler((t or "").encode()) for _, t in rows]
