@@ -1,6 +1,7 @@
 """The text operators against brute force, and on odd input: nulls, empty and long texts, repeats, empty tables, other columns."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -273,6 +274,12 @@ def test_signatures_estimate_similarity():
     assert abs(estimate - np.mean([neardup.similarity(sets[k], sets[k + 1]) for k in range(0, len(sets), 2)])) < 0.02
 
 
+def test_selection_misses_far_less_than_the_bands():
+    for s in (neardup.SIMILAR, 0.82, 0.9):
+        below = sum(math.comb(neardup.SLOTS, k) * s**k * (1 - s) ** (neardup.SLOTS - k) for k in range(neardup.SLOTS) if k / neardup.SLOTS < neardup.LIKELY)
+        assert below < 0.001 * (1 - s**neardup.ROWS) ** neardup.BANDS
+
+
 def test_toxicity_on_held_out_rows(spark, odd):
     rng = np.random.default_rng(3)
     plain = lambda: " ".join(f"v{x}" for x in rng.integers(0, 400, 60))
