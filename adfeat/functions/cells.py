@@ -15,9 +15,9 @@ def window_sums() -> list[Column]:
     """Per window and measure one conditional sum; null where the key lacks the window.
 
     Plain longs keep the aggregation on the hash path (a struct buffer would force a sort). A window outside
-    the known ones has no slot: it stops the job, in the first of the sums."""
+    the known ones, or null, has no slot: it stops the job, in the first of the sums."""
     tags = ", ".join(f"'{w}'" for w in WINDOW_TAGS)
-    refuse = f" WHEN window_tag NOT IN ({tags}) THEN CAST(raise_error(concat('unknown window tag: ', window_tag)) AS BIGINT)"
+    refuse = f" WHEN window_tag IS NULL OR window_tag NOT IN ({tags}) THEN CAST(raise_error(concat('unknown window tag: ', coalesce(window_tag, 'null'))) AS BIGINT)"
     return [
         F.expr(f"sum(CASE WHEN window_tag = '{w}' THEN coalesce({m}, 0L){'' if i or j else refuse} END)").alias(_col(w, m))
         for i, w in enumerate(WINDOW_TAGS)

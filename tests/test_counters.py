@@ -1,6 +1,9 @@
 import json
 
+import pytest
+
 from adfeat.config import MAIN, NATION, DimSet, dim_sets
+from adfeat.functions.cells import window_sums
 from adfeat.operators import counters
 from adfeat.sources.stores import counters_of_documents, counters_of_entities
 
@@ -93,6 +96,13 @@ def test_cells_add_up_rows(spark, rows_of):
     assert rows_of(counters.counter_cells(counters.user_counter_rows(accu(spark)), by=("user_id",))) == rows_of(summed)
 
 
+def test_unknown_and_null_windows_stop_the_job(spark):
+    for tag in (None, "2d"):
+        rows = spark.createDataFrame([(tag, 1, 1, 1)], "window_tag string, imp bigint, click bigint, attr_install bigint")
+        with pytest.raises(Exception, match=f"unknown window tag: {tag or 'null'}"):
+            rows.agg(*window_sums()).collect()
+
+
 def test_event_counters(spark):
     dims = "package_name string, pos_id string, ad_id string, ad_package_name string, c_id string"
     shows = spark.createDataFrame(
