@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adfeat.llm import (
-    arrow_sequences, decontamination, licenses, neardup, packing, pii, quality, shards, token_counts, toxicity)
+    alignment, arrow_sequences, decontamination, lexical_search, licenses, neardup, packing, pii, quality, shards, suffix_dedup, token_counts, toxicity)
 from adfeat.llm.common import table
 
 
@@ -68,6 +68,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("notices", F.array_join("notices", ","))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.scored(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_arrow_sequences": op1,
     "op2_decontamination": op2,
@@ -79,6 +93,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pu_toxicity": op8,
     "op9_token_counts": op9,
     "op10_license_digests": op10,
+    "op11_suffix_radix_dedup": op11,
+    "op12_max_sketch_search": op12,
+    "op13_galloping_alignment": op13,
 }
 
 
@@ -127,4 +144,21 @@ FROM whole w LEFT JOIN known k ON made <> '' AND sha256(made) = k.digest
 LEFT JOIN found f ON w.doc_id IS NOT DISTINCT FROM f.doc_id AND w.text IS NOT DISTINCT FROM f.text
 """
 
-ORACLES: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op10_license_digests": _LICENSES}
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+_SEARCH = f"""
+WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS t FROM documents),
+held AS (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM docs WHERE len(t) > 0),
+tfs AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(t)) AS BIGINT) AS L FROM docs WHERE len(t) > 0),
+asked AS (SELECT item_id, i, term, count(*) AS times FROM (SELECT item_id, i, unnest(t) AS term FROM (SELECT item_id, row_number() OVER () AS i, {_TERMS} AS t FROM benchmark)) GROUP BY ALL),
+parts AS (SELECT item_id, i, r, doc_id, times * CAST(floor(1000 * ln(CAST(2 * corpus.N + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * corpus.N) // L)))) AS s
+  FROM asked JOIN dfs USING (term) JOIN tfs USING (term), corpus),
+scores AS (SELECT item_id, i, r, doc_id, CAST(sum(s) AS BIGINT) AS score FROM parts GROUP BY ALL HAVING sum(s) > 0),
+ranks AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scores)
+SELECT * FROM ranks WHERE rank <= {lexical_search.TOP}
+"""
+
+ORACLES: dict[str, str] = {"op2_decontamination": _DECONTAMINATION, "op10_license_digests": _LICENSES, "op12_max_sketch_search": _SEARCH}
