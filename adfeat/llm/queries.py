@@ -151,10 +151,10 @@ WITH docs AS (SELECT doc_id, row_number() OVER () AS r, {_TERMS} AS t FROM docum
 held AS (SELECT r, doc_id, CAST(len(t) AS BIGINT) AS n, unnest(t) AS term FROM docs WHERE len(t) > 0),
 tfs AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
 dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
-corpus AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(t)) AS BIGINT) AS L FROM docs WHERE len(t) > 0),
+corpus AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM docs WHERE len(t) > 0),
 asked AS (SELECT item_id, i, term, count(*) AS times FROM (SELECT item_id, i, unnest(t) AS term FROM (SELECT item_id, row_number() OVER () AS i, {_TERMS} AS t FROM benchmark)) GROUP BY ALL),
-parts AS (SELECT item_id, i, r, doc_id, times * CAST(floor(1000 * ln(CAST(2 * corpus.N + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
-    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * corpus.N) // L)))) AS s
+parts AS (SELECT item_id, i, r, doc_id, times * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT)
+    * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * n_docs) // n_terms)))) AS s
   FROM asked JOIN dfs USING (term) JOIN tfs USING (term), corpus),
 scores AS (SELECT item_id, i, r, doc_id, CAST(sum(s) AS BIGINT) AS score FROM parts GROUP BY ALL HAVING sum(s) > 0),
 ranks AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM scores)
