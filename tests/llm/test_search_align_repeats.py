@@ -68,10 +68,12 @@ def test_repeats_in_texts_of_several_parts(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, tuple(map(tuple, r.spans)), r.kept_sha256) for r in got} == dict(enumerate(want))
 
 
-def test_hot_keys_are_looked_up_like_others(spark, odd_rows, monkeypatch):
+def test_hot_keys_and_large_groups_go_like_others(spark, odd_rows, monkeypatch):
     want = sorted(map(repr, suffix_dedup.repeats(table(spark, odd_rows)).collect()))
-    for keys in (0, 3):
+    for keys, group, run in ((0, 0, 1), (3, 2, 700)):
         monkeypatch.setattr(suffix_dedup, "HOT_KEYS", keys)
+        monkeypatch.setattr(suffix_dedup, "GROUP", group)
+        monkeypatch.setattr(suffix_dedup, "RUN", run)
         assert sorted(map(repr, suffix_dedup.repeats(table(spark, odd_rows)).collect())) == want
 
 
