@@ -25,11 +25,11 @@ from adfeat.llm.common import saved
 from adfeat.llm.encoding import frugal
 
 DEPTH, DIGIT = 200, 40  # bytes
-PART = 1 << 20  # windows of a text looked at together; longer texts go part by part
+PART = 1 << 18  # windows of a text looked at together; longer texts go part by part
 HOT_KEYS = 100_000  # a key is hot if it holds more than one in so many rows: no more than so many keys are
-GROUP = 4096  # contexts of a group that is finished in memory
+GROUP = 1024  # contexts of a group that is finished in memory
 WHOLE, GIVES, ASKS, LARGE = 1, 2, 4, 8  # marks: windows are repeated; take part in pass 3; are decided there; in a large group
-RUN = 4_000_000  # bytes of contexts finished together
+RUN = 1_500_000  # bytes of contexts finished together
 
 
 def _powers(base: int, n: int) -> np.ndarray:
