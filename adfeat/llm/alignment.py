@@ -4,9 +4,11 @@ ends is a group, and rank differences give the tokens of both sides in it."""
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +35,11 @@ class PieceEncoder:
         piece = self.model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each has."""
+        found = self.model.encode(texts, num_threads=1)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())), sizes
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,7 +50,17 @@ def byte_letters() -> dict[str, int]:
 
 
 class ByteLevelEncoder(ByteEncoder):
-    """Byte-level ids with strings of special tokens as plain text, and the bytes of each token."""
+    """Byte-level ids of a space and the text, with strings of special tokens as plain text, and the bytes of each token."""
+
+    ODD = ByteEncoder.ODD + r"|^\n"  # the space would stand next to other white space
+
+    def pieces(self, texts: pa.Array) -> pa.ListArray:
+        """As for a text, whose first piece here has a space before it like the others."""
+        lines = pc.replace_substring(texts, "\n", f" {self.BARE}\n")
+        return pc.split_pattern(pc.replace_substring_regex(lines, self.STOP, rf"\1 {self.BARE}\2"), " ")
+
+    def unusual(self, text: str) -> bytes:
+        return super().unusual(" " + text)
 
     def __init__(self, path: str):
         super().__init__(path)
@@ -137,30 +152,44 @@ def linked(a: np.ndarray, b: np.ndarray, from_a: np.ndarray, from_b: np.ndarray,
     return different, totals
 
 
+def edges_of(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes)])
+
+
+def given_back(tokens: pa.Array, ids: np.ndarray, sizes: np.ndarray, data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Whether the bytes of the tokens of each text, joined, are its bytes."""
+    joined = tokens.take(pa.array(ids))
+    at = np.frombuffer(joined.buffers()[1], np.int32)[edges_of(sizes)].astype(np.int64)
+    made = np.frombuffer(joined.buffers()[2], np.uint8) if len(ids) else np.empty(0, np.uint8)
+    good = np.diff(at) == np.diff(edges)
+    for k in np.flatnonzero(good).tolist():
+        good[k] = np.array_equal(made[at[k] : at[k + 1]], data[edges[k] : edges[k + 1]])
+    return good
+
+
 def aligner(first: str, second: str) -> Callable:
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = ByteLevelEncoder(first), PieceEncoder(second)
         size_a, size_b = (np.array([len(x) for x in e.bytes], np.int64) for e in (one, two))
+        tokens_a, tokens_b = (pa.array(e.bytes, pa.binary()) for e in (one, two))
         # an id as it is written, with what follows it inside its side (0) or at its end (1); the longest has five digits
         written = np.array([[f"{i}{c}".encode() for c in pair] for pair, n in ((",|", len(size_a)), (",;", len(size_b))) for i in range(n)], "S8")
 
         def aligned(texts: pa.Array) -> list[pa.Array]:
             plain = texts.cast(pa.string()).fill_null("")
-            spaced = pa.array([b" " + x for x in raw(plain)], pa.binary())
-            n = len(texts)
-            as_a = [np.frombuffer(x, "<u2") for x in one.encode(spaced.cast(pa.string()))]
-            as_b = [np.array(x, np.int64) for x in two.encode(plain.to_pylist())]
-            whole = [
-                len(x) > 1 and b"".join(map(one.bytes.__getitem__, ia.tolist())) == x and b"".join(map(two.bytes.__getitem__, ib.tolist())) == x
-                for x, ia, ib in zip(spaced.to_pylist(), as_a, as_b)
-            ]
+            n, spaced = len(texts), [b" " + x for x in raw(plain)]
+            data, edges = np.frombuffer(b"".join(spaced), np.uint8), edges_of(np.fromiter(map(len, spaced), np.int64, n))
+            found = list(one.encode(plain))
+            all_a, sizes_a = np.frombuffer(b"".join(found), "<u2"), np.fromiter(map(len, found), np.int64, n) // 2
+            all_b, sizes_b = two.encode(plain.to_pylist())
+            whole = given_back(tokens_a, all_a, sizes_a, data, edges) & given_back(tokens_b, all_b, sizes_b, data, edges) & (np.diff(edges) > 1)
             good = np.flatnonzero(whole)
             n_a, n_b, n_groups, n_links = np.zeros((4, n), np.int64)
             groups, edges, pairs, links = [b""] * n, np.zeros(n + 1, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
             if len(good):
-                n_a[good], n_b[good] = [len(as_a[k]) for k in good], [len(as_b[k]) for k in good]
-                a, b = (np.concatenate([ids[k] for k in good]).astype(np.int64) for ids in (as_a, as_b))
-                of_a, of_b = (np.concatenate([[0], np.cumsum(x[good])]) for x in (n_a, n_b))
+                n_a[good], n_b[good] = sizes_a[good], sizes_b[good]
+                a, b = (ids[np.repeat(whole, sizes)].astype(np.int64) for ids, sizes in ((all_a, sizes_a), (all_b, sizes_b)))
+                of_a, of_b = edges_of(n_a[good]), edges_of(n_b[good])
                 i, j = common(np.cumsum(size_a[a]), np.cumsum(size_b[b]), of_a, of_b)
                 from_a, from_b = np.concatenate([[0], i + 1]), np.concatenate([[0], j + 1])
                 last = np.searchsorted(i, of_a[1:] - 1)  # the group that ends each text

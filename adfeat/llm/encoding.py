@@ -69,11 +69,11 @@ class Encoder:
     many at a time, as one text in which the ids of each can be told apart.
     """
 
-    KEPT: int  # pieces remembered per task
+    KEPT: int  # pieces remembered per task, in two halves of which the older one is given up
     ODD: str  # texts that go another way, as a pattern of Arrow
 
     def __init__(self, path: str):
-        self.tokenizer, self.known = load(path), {}
+        self.tokenizer, self.known, self.older = load(path), {}, {}
 
     def pieces(self, texts: pa.Array) -> pa.ListArray:
         """The pieces of usual texts."""
@@ -96,24 +96,25 @@ class Encoder:
                 yield self.unusual(run[k].as_py()) if strange else next(usual)
 
     def usual(self, texts: pa.Array) -> list[bytes]:
-        """Each different piece is looked up once; the rest is arithmetic on arrays."""
+        """Each different piece is looked up once; Arrow then gathers the ids."""
         lists = self.pieces(texts)
         coded = lists.flatten().dictionary_encode()
-        pieces, codes, known = coded.dictionary.to_pylist(), coded.indices.to_numpy(), self.known
-        found = list(map(known.get, pieces))
-        new = [piece for piece, ids in zip(pieces, found) if ids is None]
-        made = dict(zip(new, self.fresh(new)))
-        found = [made[piece] if ids is None else ids for piece, ids in zip(pieces, found)]
-        if len(known) + len(made) > self.KEPT:  # what this run uses stays
-            known.clear()
-            made = dict(zip(pieces, found))
-        known.update((piece, ids) for piece, ids in made.items() if len(piece) <= LONGEST)
-        flat = np.frombuffer(b"".join(found), "<u2")
+        pieces = coded.dictionary.to_pylist()
+        found = list(map(self.known.get, pieces))
+        lost = [k for k, ids in enumerate(found) if ids is None]
+        for k in lost:
+            found[k] = self.older.get(pieces[k])
+        new = [k for k in lost if found[k] is None]
+        for k, ids in zip(new, self.fresh([pieces[k] for k in new])):
+            found[k] = ids
+        self.known.update((pieces[k], found[k]) for k in lost if len(pieces[k]) <= LONGEST)
+        if len(self.known) > self.KEPT // 2:  # what was used of late stays
+            self.known, self.older = {}, self.known
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        starts, n = np.cumsum(sizes) - sizes, sizes[codes]
-        ends = np.cumsum(n)
-        out = flat[np.repeat(starts[codes] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-        edges = np.concatenate([[0], ends])[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        ids = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<u2"))).take(coded.indices)
+        out, ends = ids.values.to_numpy(), ids.offsets.to_numpy()
+        edges = ends[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         return [out[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist())]
 
     def unusual(self, text: str) -> bytes:
@@ -161,7 +162,7 @@ class WordEncoder(Encoder):
 class ByteEncoder(Encoder):
     """For byte-level vocabularies: ids stand for bytes one to one, so that pieces of known length can be told apart."""
 
-    KEPT = 300_000
+    KEPT = 600_000
     #: Next to other white space, a space isn't a start by itself; nor is a line feed that two others follow, or one at the end.
     ODD = OTHER + r"|[ \n] | \n|\t|\r|^ | $|\n\n\n|\n\n$"
     STOP = rf"([{LETTERS}])([.,;:!?])"  # a token starts at a mark after a letter

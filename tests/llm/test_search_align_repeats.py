@@ -155,7 +155,7 @@ def aligned(texts):
 
 
 def test_alignment_is_that_of_set_intersection(spark, odd_rows, monkeypatch):
-    more = [(200 + k, t) for k, t in enumerate(["a▁b", " two  spaces ", "ﬁ ﬀ ½", "\x00\x01 ctrl\r\n", "😀👍🏽 emoji", "it's <s> </s> <unk> <0x41>"])]
+    more = [(200 + k, t) for k, t in enumerate(["\nfirst line", " \n", "!x\n\ny", "7 up, a.b", "a▁b", " two  spaces ", "ﬁ ﬀ ½", "\x00\x01 ctrl\r\n", "😀👍🏽 emoji", "it's <s> </s> <unk> <0x41>"])]
     rows = [*odd_rows, *more]
     want = sorted(((i or -1, *w) for (i, _), w in zip(rows, aligned([t for _, t in rows]))), key=repr)
     for keys, pairs in ((200_000, 4_000_000), (0, 7), (5, 100)):
