@@ -63,6 +63,47 @@ def test_bias(spark):
     assert (r.mean_score, r.mean_label) == (pytest.approx((0.05 + 0.1) / 2), 0.5)
 
 
-def test_scores_out_of_range_stop(spark):
-    with pytest.raises(Exception, match="out of range"):
-        model_rows(spark, [(1, 10, 2), (2_000_000, 20, 4)])
+@pytest.mark.parametrize("shape", ["mixed", "falling", "rising", "waves"])
+def test_ranges_pool_like_one(spark, shape):
+    rnd = random.Random(4)
+    rates = {"mixed": lambda i: rnd.random(), "falling": lambda i: 1 - i / 400, "rising": lambda i: i / 400, "waves": lambda i: (i % 50) / 50}
+    buckets = []
+    for i, b in enumerate(sorted(rnd.sample(range(-3_000_000, 3_000_000), 400))):
+        n = rnd.randint(1, 40)
+        buckets.append((b, n, round(n * rates[shape](i))))
+    df = spark.createDataFrame(buckets, "bucket bigint, n bigint, clicks bigint")
+    want = [tuple(x) for x in cal._pooled(sorted(buckets))]
+    for range_rows in (60, 1000):
+        rows = cal.isotonic_model(df, range_rows).collect()
+        assert sorted((r.bucket, r.n, r.clicks) for r in rows) == want
+
+
+def test_no_group_of_everything(spark, monkeypatch):
+    sizes = []
+    pairs = cal._falling_borders
+    monkeypatch.setattr(cal, "_falling_borders", lambda edges: sizes.append(pairs(edges)) or sizes[-1])
+    df = spark.range(1000).selectExpr("id AS bucket", "10L AS n", "10L - id div 100 AS clicks")
+    assert cal.isotonic_model(df, 200).count() == 1
+    for taken in sizes:  # every round pools disjoint pairs of neighbours
+        members = [r for pair in taken for r in pair]
+        assert len(members) == len(set(members))
+    plan = cal.isotonic_model(df, 1000)._jdf.queryExecution().toString()
+    assert "Window" not in plan
+
+
+def test_no_buckets_give_no_model(spark):
+    assert model_rows(spark, []) == [] and model_rows(spark, [(None, 3, 1)]) == []
+    rows = spark.createDataFrame([(0.5,)], "pctr double")
+    none = spark.createDataFrame([], cal.MODEL_SCHEMA)
+    assert cal.calibrate(rows, none).first().calibrated is None
+
+
+@pytest.mark.parametrize("match", ["strict", "inclusive"])
+def test_large_models_are_swept(spark, rows_of, match):
+    rnd = random.Random(8)
+    model = spark.createDataFrame([(b, 1, 1, b / 10000.0, i / 10) for i, b in enumerate(sorted(rnd.sample(range(-900, 900), 60)))], cal.MODEL_SCHEMA)
+    scores = [rnd.randint(-1000, 1000) / 10000.0 for _ in range(300)] + [0.01] * 200 + [None, float("nan"), -5.0, 150.0]
+    rows = spark.createDataFrame([(i, s, {"a": i}, "clash") for i, s in enumerate(scores)], "i int, pctr double, m map<string, int>, calibrated string")
+    want = rows_of(cal.calibrate(rows, model, match=match).select("i", "m", "calibrated"))
+    assert rows_of(cal.calibrate(rows, model, match=match, lookup_rows=10).select("i", "m", "calibrated")) == want
+    assert [r[2] for r in want if r[0] in (500, 501)] == [None, None]
