@@ -82,23 +82,28 @@ def chi_square(counts: DataFrame, label: str = "click", yates: bool = True) -> D
 
     ``stat`` is -1 if a class is empty or the feature has one value. With two values (one degree of
     freedom) each count is moved towards its expectation by up to one half, unless ``yates`` is off.
-    One aggregation per feature, as for :func:`mutual_information`.
+
+    The statistic is the weighted variance of the values' rates around the rate of the feature, so its sum is centred on totals: how far a
+    value is off (pos·n - m·p) is a difference of whole numbers and loses nothing, whatever the counts. Totals come from the same
+    shuffle of counts per value and are one row per feature.
     """
-    both = F.col("pos") + F.col("neg")
-    sums = _two_class(counts, label).where(both > 0).groupBy(F.col("fea_k").alias("feature")).agg(
-        F.count(F.lit(1)).alias("n_values"),
-        F.sum("pos").alias("p"), F.sum("neg").alias("q"),
-        F.sum(F.col("pos") * F.col("pos") / both).alias("sq"),
-        # one value of a two-valued feature settles its table
-        F.min_by("pos", "fea_v").alias("o"), F.min_by(both, F.col("fea_v")).alias("m"),
-    )
-    p, q, n = F.col("p"), F.col("q"), F.col("p") + F.col("q")
-    general = (F.col("sq") - p * p / n) * n * n / (p * q)
-    gap = F.abs(F.col("o") - F.col("m") * p / n)
+    values = _two_class(counts, label).withColumns({c: F.col(c).cast("decimal(18,0)") for c in ("pos", "neg")})
+    values = values.withColumn("m", (F.col("pos") + F.col("neg")).cast("decimal(18,0)")).where(F.col("m") > 0)
+    totals = values.groupBy("fea_k").agg(F.sum("pos").cast("decimal(18,0)").alias("p"), F.sum("m").cast("decimal(18,0)").alias("n"))
+    off = F.col("pos") * F.col("n") - F.col("m") * F.col("p")  # less than 10^36
+    far = off.cast("double")
+    m, p, n = (F.col(c).cast("double") for c in ("m", "p", "n"))
+    part = far * far / (m * p * (n - p))  # of the whole statistic
+    gap = F.abs(far) / n
     moved = gap - F.least(gap, F.lit(0.5))
-    corrected = moved * moved * n * (1 / F.col("m") + 1 / (n - F.col("m"))) * (1 / p + 1 / q)
-    stat = F.when((F.col("n_values") == 2) & F.lit(yates), corrected).otherwise(general)
-    usable = (p > 0) & (q > 0) & (F.col("n_values") > 1)
+    sums = values.join(totals, "fea_k").groupBy(F.col("fea_k").alias("feature")).agg(
+        F.count(F.lit(1)).alias("n_values"), F.first("p").alias("p"), F.first("n").alias("n"),
+        F.sum(F.when((p > 0) & (n > p), part)).alias("general"),
+        # with two values both counts are off by the same, so both are moved by the same
+        F.sum(F.when((p > 0) & (n > p), moved * moved * n * n / (m * p * (n - p)))).alias("corrected"),
+    )
+    stat = F.when((F.col("n_values") == 2) & F.lit(yates), F.col("corrected")).otherwise(F.col("general"))
+    usable = (F.col("p") > 0) & (F.col("n") > F.col("p")) & (F.col("n_values") > 1)
     return sums.select(
         "feature", "n_values", F.when(usable, stat).otherwise(F.lit(-1.0)).alias("stat"),
         F.when(usable, F.col("n_values") - 1).alias("dof"),
@@ -106,7 +111,7 @@ def chi_square(counts: DataFrame, label: str = "click", yates: bool = True) -> D
 
 
 def chi_square_test(counts: DataFrame, label: str = "click", prob: float = 0.8) -> DataFrame:
-    """:func:`chi_square` with the critical value at ``prob`` and the p-value, one Python call per feature."""
+    """:func:`chi_square` with the critical value at ``prob`` and the p-value, one Python call per feature, at any number of values."""
     return chi_square(counts, label).select(
         "feature", "n_values", "stat",
         chi2_quantile(F.lit(prob), F.col("dof").cast("double")).alias("critical"),

@@ -1,5 +1,7 @@
 import math
 from collections import Counter, defaultdict
+from decimal import Decimal, localcontext
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -124,3 +126,46 @@ def test_index_allocation(spark):
         "up_uid": 40, "ctx_ip": 100_000, "user_ad_uac": 10_000, "ad_ac/7d": 10_000, "up_uc": 10_000, "ctx_ne3": 40, "ad_ai_cid": 10_000,
         "ad_ai_aid": 40, "x_ad_ai_adid": 40, "ctx_ad_pkg": 40, "other": 40,
     }
+
+
+@pytest.mark.parametrize("n_values", [2, 5])
+def test_chi_square_of_huge_counts(spark, n_values):
+    rows, exact = [], []
+    for v in range(n_values):
+        m, pos = 10**12 + 7 * v, (10**12) // 3 + (-1) ** v * 10**5 * v
+        rows += [("f", str(v), 1, 0, pos), ("f", str(v), 0, 0, m - pos)]
+        exact.append((pos, m))
+    p, n = sum(x for x, _ in exact), sum(m for _, m in exact)
+    want = sum(Fraction(x * n - m * p) ** 2 / (m * p * (n - p)) for x, m in exact)
+    got = features.chi_square(spark.createDataFrame(rows, COUNTS), yates=False).first()
+    assert abs(Fraction(got.stat) / want - 1) < Fraction(1, 10**9)
+
+
+def poisson_tail(h, a):
+    """Upper tail for an even number of degrees of freedom, 2a, at 2h: a sum of so many exact terms."""
+    with localcontext() as c:
+        c.prec = 60
+        term = total = Decimal(1)
+        for k in range(1, a):
+            term *= Decimal(h) / k
+            total += term
+        return float(total * (-Decimal(h)).exp())
+
+
+@pytest.mark.parametrize("a", [1, 5, 500, 20_000, 100_000])
+def test_tails_have_one_formula_at_every_size(a):
+    for h in (a - 2.5 * math.sqrt(a), a - 1.0, a + 0.5, a + 3 * math.sqrt(a), 2.0 * a + 10):
+        if h > 0:
+            assert upper_tail(2 * h, 2 * a) == pytest.approx(poisson_tail(h, a), rel=1e-11)
+
+
+def test_quantiles_invert_the_tail():
+    for dof in (1, 2, 3, 9, 1000, 39_999, 40_001, 10**6, 10**9):
+        for prob in (0.01, 0.5, 0.8, 0.999):
+            assert 1 - upper_tail(quantile(prob, dof), dof) == pytest.approx(prob, abs=1e-11)
+    assert quantile(0.0, 3) == 0.0 and upper_tail(-1, 3) == upper_tail(0, 3) == 1.0
+
+
+def test_sums_that_do_not_settle_are_errors():
+    with pytest.raises(ArithmeticError):
+        upper_tail(math.nan, 3)
