@@ -11,7 +11,7 @@ from adfeat.functions.cells import empty_cell
 from adfeat.functions.jsontext import open_object
 from adfeat.functions.keys import dim_text, keyed_sets
 from adfeat.operators.counters import counter_cells
-from adfeat.operators.skew import HOT_ROWS, counted_keys, join_hot, key_counts
+from adfeat.operators.skew import HOT_ROWS, chunked, counted_keys, join_hot, join_packed, key_counts, repeated
 
 AD_DIMS = ("package_name", "pos_id", "ad_id", "ad_package_name", "ad_package_category", "c_id")
 USER_AD_DIMS = ("pos_id", "ad_id", "ad_package_name", "ad_package_category", "c_id")
@@ -28,6 +28,25 @@ def feature_date_of(label_date: Column) -> Column:
     return F.date_sub(label_date, 1)
 
 
+def of_label_users(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the users that labels ask for: narrow input of user counters, cut down before it is multiplied by dimension sets."""
+    return rows.join(labels.select("user_id").where(F.col("user_id").isNotNull()).distinct(), "user_id", "left_semi")
+
+
+def pair_days(labels: DataFrame, features: DataFrame, keys: list[str], day: str = "dt", how: str = "left") -> DataFrame:
+    """Labels of any number of days, each with the features of the day before (:func:`feature_date_of`).
+
+    ``day`` is the partition column of both, as ``yyyyMMdd`` text. The days that occur, one row each, are broadcast to the features first:
+    their partitions are then pruned while the query runs, and only those of days before a label day are read. Features
+    of the label day itself or later never reach a label."""
+    before = F.date_format(feature_date_of(F.to_date(day, "yyyyMMdd")), "yyyyMMdd")
+    # the condition holds for every day; without a comparison Spark takes a list for unselective and prunes nothing
+    days = labels.select(before.alias("_before")).where(F.col("_before") >= "00000000").distinct()
+    old = features.join(F.broadcast(days), F.col(day) == F.col("_before"), "left_semi").withColumnRenamed(day, "_before")
+    joined = labels.withColumn("_before", before).join(old, ["_before", *keys], how)
+    return joined.withColumnRenamed("_before", f"feature_{day}")
+
+
 def _slots(tuples: DataFrame, counters: DataFrame, sets, owner: tuple[str, ...], variant: Variant, hot_rows: int) -> DataFrame:
     """Counter cells of every dimension set for each distinct tuple: the tuple and its slot columns.
 
@@ -43,7 +62,7 @@ def _slots(tuples: DataFrame, counters: DataFrame, sets, owner: tuple[str, ...],
     asked = counted_keys(counts).withColumnsRenamed({f"t_{o}": o for o in owner})
     needed = counters.join(asked, [*owner, "dim_set", "dim_key"], "left_semi")
     cells = counter_cells(needed, variant, by=owner).withColumnsRenamed({o: f"t_{o}" for o in owner})
-    found = join_hot(wanted, cells, on, "inner", hot_rows, counts)
+    found = join_hot(wanted, cells, on, "inner", hot_rows, counts, chunk=None)
     folded = found.groupBy(*cols).agg(F.map_from_entries(F.collect_list(F.struct("dim_set", "cell"))).alias("m"))
     return folded.select(*cols, *[F.col("m")[s.name].alias(s.slot) for s in sets])
 
@@ -61,8 +80,8 @@ def assemble_samples(
 
     Counters are looked up for the distinct dimension tuples of the labels, not per label and
     dimension set, so the number of sets does not multiply the wide label rows. One aggregation of
-    the labels yields the tuples and, with them, which users and ads are hot; ``join_hot`` splits
-    those. The joins go from narrow to wide: each one shuffles what the earlier ones attached.
+    the labels yields the tuples and, with them, which users and ads are hot; ``join_packed`` splits
+    those, and equal rows of labels travel as one. The joins go from narrow to wide: each one shuffles what the earlier ones attached.
     """
     nation = ("nation",) if variant.nation_prefix else ()
     ad_tuple = [f"t_{d}" for d in (*nation, *AD_DIMS)]
@@ -79,10 +98,11 @@ def assemble_samples(
     ads = _slots(counted_keys(by_ad), ad_counters, variant.ad_sets, nation, variant, hot_rows)
     owners = profiles.select(F.col("user_id").alias("t_user_id"), "userBase", "userBehavior")
 
-    joined = join_hot(rows, owners, ["t_user_id"], "left", hot_rows, by_user)
-    joined = join_hot(joined, users, user_tuple, "left", hot_rows, by_user_ad)
-    joined = join_hot(joined, ads, ad_tuple, "left", hot_rows, by_ad)
-    return joined.select(*keep, _label(variant).alias("label"), _feature(variant).alias("feature"))
+    # equal label rows go through all three joins as one row per chunk
+    joined = join_packed(chunked(rows), owners, ["t_user_id"], "left", hot_rows, by_user)
+    joined = join_packed(joined, users, user_tuple, "left", hot_rows, by_user_ad)
+    joined = join_packed(joined, ads, ad_tuple, "left", hot_rows, by_ad)
+    return repeated(joined.drop("_hash")).select(*keep, _label(variant).alias("label"), _feature(variant).alias("feature"))
 
 
 def _label(variant: Variant) -> Column:

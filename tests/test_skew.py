@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from adfeat.operators.skew import join_hot, key_counts
+from adfeat.operators.skew import chunked, join_hot, join_packed, key_counts, repeated
 
 
 def frames(spark):
@@ -16,8 +16,15 @@ def test_same_rows_as_a_plain_join(spark, rows_of):
     left, right = frames(spark)
     for how in ("inner", "left"):
         want = rows_of(left.join(right, ["k", "j"], how).select("k", "j", "i", "v"))
-        for hot_rows in (1, 7, 50, 10**9):
+        for hot_rows in (1, 50, 10**9):
             assert rows_of(join_hot(left, right, ["k", "j"], how, hot_rows).select("k", "j", "i", "v")) == want
+            assert rows_of(join_hot(left, right, ["k", "j"], how, hot_rows, chunk=3).select("k", "j", "i", "v")) == want
+            assert rows_of(join_hot(left, right, ["k", "j"], how, hot_rows, chunk=None).select("k", "j", "i", "v")) == want
+            same = left.drop("i").unionByName(left.drop("i"))
+            plain = rows_of(same.join(right, ["k", "j"], how).select("k", "j", "v"))
+            assert rows_of(join_hot(same, right, ["k", "j"], how, hot_rows, chunk=2).select("k", "j", "v")) == plain
+            through = join_packed(chunked(same, 2), right, ["k", "j"], how, hot_rows, key_counts(same, ["k", "j"])).drop("_hash")
+            assert rows_of(repeated(through).select("k", "j", "v")) == plain
         counts = key_counts(left, ["k", "j"])
         assert rows_of(join_hot(left, right, ["k", "j"], how, 20, counts).select("k", "j", "i", "v")) == want
 
@@ -46,3 +53,44 @@ def test_hot_rows_leave_one_task(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_equal_rows_leave_one_task(spark):
+    left = spark.range(4000).selectExpr("CASE WHEN id % 5 = 0 THEN id END AS k").na.fill(7)
+    right = spark.range(3000).selectExpr("id AS k", "id AS v").groupBy("k").agg(F.sum("v").alias("v"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = join_hot(left, right, ["k"], "left", 100, chunk=50).select("k", "v", F.spark_partition_id().alias("p")).where("k = 7")
+        found = rows.agg(F.count_distinct("p").alias("n"), F.count(F.lit(1)).alias("rows"), F.min("v").alias("v")).first()
+        assert found.n > 4 and found.rows == 3200 and found.v == 7
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_the_broadcast_list_is_bounded_and_holds_numbers_only(spark, monkeypatch):
+    from adfeat.operators import skew
+
+    monkeypatch.setattr(skew, "HOT_KEYS", 3)
+    left, right = frames(spark)
+    sizes = join_hot(left, right, ["k", "j"], "inner", 1)._jdf.queryExecution().optimizedPlan().toString()
+    hints = [line for line in sizes.splitlines() if "strategy=broadcast" in line]
+    assert len(hints) == 3  # left twice, right once: all of the same list
+    counts = key_counts(left, ["k", "j"])
+    total = left.count()
+    assert counts.where(F.col("_n") * 3 > total).count() <= 3
+
+
+def test_rows_with_maps_are_counted_and_repeated(spark, rows_of):
+    df = spark.sql("""
+        SELECT k, named_struct('m', map('a', k, 'b', 2), 'x', array(map(1, 'z'))) AS s, CASE WHEN k = 2 THEN map('q', 1.5D) END AS m
+        FROM (SELECT id % 3 AS k FROM range(40))""")
+    packed = chunked(df, 4)
+    assert packed.agg(F.sum("_times")).first()[0] == 40 and packed.agg(F.max("_times")).first()[0] == 4
+    assert packed.count() == packed.select("_hash").distinct().count() == 12
+    assert rows_of(repeated(packed.drop("_hash"))) == rows_of(df)
+    right = spark.createDataFrame([(0, "x"), (1, "y")], "k long, v string")
+    assert rows_of(join_hot(df, right, ["k"], "left", 5, chunk=3).select("k", "s", "m", "v")) == rows_of(df.join(right, "k", "left").select("k", "s", "m", "v"))
