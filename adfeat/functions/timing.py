@@ -26,11 +26,6 @@ def epoch_seconds(ts: Column | str) -> Column:
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
 
 
-def five_minute_bucket(ts: Column) -> Column:
-    """``yyyyMMddHHmm`` of the five-minute slot holding ``ts``."""
-    return F.date_format(F.window(ts, "5 minutes").getField("start"), "yyyyMMddHHmm")
-
-
 def local_day_hours(now: dt.datetime, offset_hours: int = 8) -> tuple[str, str]:
     """Half-open UTC hour range of the calendar day that ``now`` (UTC) falls on at ``offset_hours``."""
     day = (now + dt.timedelta(hours=offset_hours)).replace(hour=0, minute=0, second=0, microsecond=0)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adfeat import schemas
 from adfeat.functions.timing import local_day_hours
 from adfeat.operators import counters, flatten, project, refresh
-from adfeat.sinks import export
+from adfeat.sinks import export, publish
 from adfeat.sources import logs, stores
 
 # log kind: flattening operator and directory layout of the raw log
@@ -50,6 +50,23 @@ def recent_events(spark: SparkSession, imp_click_root: str, install_root: str, e
     return shows, project.exclude_package(installs, excluded_package)
 
 
+def refreshed(spark: SparkSession, snapshot: DataFrame, imp_click_root: str, install_root: str, now: dt.datetime, excluded_package: str) -> DataFrame:
+    """The daily ``snapshot`` brought up to date with recent events.
+
+    Always starts from the daily snapshot, so hourly additions do not pile up."""
+    shows, installs = recent_events(spark, imp_click_root, install_root, excluded_package)
+    return refresh.refresh_snapshot(
+        snapshot, counters.event_counters(shows, installs), counters.local_day_installs(installs, *local_day_hours(now))
+    )
+
+
+def publish_refresh(
+    spark: SparkSession, snapshot: DataFrame, imp_click_root: str, install_root: str, root: str, now: dt.datetime, excluded_package: str
+) -> int:
+    """Publish the refreshed counters under ``root`` once they are written and checked (:func:`adfeat.sinks.publish.publish`)."""
+    return publish.publish(refreshed(spark, snapshot, imp_click_root, install_root, now, excluded_package), root)
+
+
 def refresh_counters_hour(
     spark: SparkSession,
     snapshot: DataFrame,
@@ -59,12 +76,6 @@ def refresh_counters_hour(
     now: dt.datetime,
     excluded_package: str,
 ) -> DataFrame:
-    """Write the daily ``snapshot`` brought up to date with recent events; returns the rows a consumer would refuse.
-
-    Always starts from the daily snapshot, so hourly additions do not pile up."""
-    shows, installs = recent_events(spark, imp_click_root, install_root, excluded_package)
-    fresh = refresh.refresh_snapshot(
-        snapshot, counters.event_counters(shows, installs), counters.local_day_installs(installs, *local_day_hours(now))
-    )
-    fresh.write.mode("errorifexists").parquet(out_path)
+    """Write the refreshed counters to a path of their own, for readers that check themselves; returns the rows a consumer would refuse."""
+    refreshed(spark, snapshot, imp_click_root, install_root, now, excluded_package).write.mode("errorifexists").parquet(out_path)
     return export.invalid_counters(spark.read.parquet(out_path))

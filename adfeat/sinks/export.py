@@ -27,6 +27,12 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     tsv_lines(df).write.mode(mode).text(path)
 
 
+def write_hourly_tsv(df: DataFrame, root: str, hour: str = "hour", mode: str = "append") -> None:
+    """TSV lines under ``hour=`` of each row's hour, which is no field of the line."""
+    lines = df.select(F.concat_ws("\t", *[dim_text(c) for c in df.columns if c != hour]).alias("value"), F.col(hour).alias("hour"))
+    lines.repartition("hour").write.mode(mode).partitionBy("hour").text(root)
+
+
 def write_snapshot(df: DataFrame, root: str, day: str, mode: str = "errorifexists", by_set: bool = False) -> None:
     """Daily snapshot as Parquet under ``dt=``.
 

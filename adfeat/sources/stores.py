@@ -15,6 +15,23 @@ def read_entities(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("user_id string, pb string").json(path)
 
 
+def write_entity_store(entities: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+    """Entities ``(user_id, pb)`` as a table bucketed and sorted by user.
+
+    Lookups by user then shuffle their requests only, however often the store is asked: it lies as the join wants it. ``buckets``
+    about one per 200 MB of the store, but no fewer than ``spark.sql.shuffle.partitions``: below that Spark shuffles both sides."""
+    rows = entities.select("user_id", "pb").repartition(buckets, "user_id")
+    writer = rows.write.bucketBy(buckets, "user_id").sortBy("user_id").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(table)
+
+
+def counters_of_users(requests: DataFrame, table: str, variant: Variant = MAIN) -> DataFrame:
+    """User counters in long form of the users of ``requests`` (column ``user_id``), each once, from a bucketed entity store."""
+    store = requests.sparkSession.table(table)
+    asked = requests.select("user_id").distinct()
+    return counters_of_entities(store.join(asked, "user_id", "left_semi"), variant)
+
+
 def counters_of_entities(entities: DataFrame, variant: Variant = MAIN) -> DataFrame:
     """User counters in long form from ``(user_id, pb)`` entities."""
     doc = F.from_json("pb", f"storeUserCounter map<string, {cell_type(variant.install_field)}>")

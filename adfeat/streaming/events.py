@@ -71,3 +71,13 @@ def rolling_day_counts(events: DataFrame, keys: list[str], ts: str = "ts", late:
     return hourly.groupBy(F.window("window", "24 hours", "1 hour").alias("day"), *keys).agg(
         F.sum("n").alias("n")
     ).select(F.col("day.end").alias("window_end"), *keys, "n")
+
+
+def write_rolling(events: DataFrame, keys: list[str], path: str, checkpoint: str, late: str, ts: str = "ts", every: str | None = None) -> StreamingQuery:
+    """Rolling day counts of a stream as Parquet, each window once, when the watermark has passed it.
+
+    Hours and days are kept in the state store below ``checkpoint``, so the stream goes on where it was stopped. A row of an
+    hour that the watermark has passed (``late`` behind the latest one seen) is dropped. ``every`` None: until all is read."""
+    counts = rolling_day_counts(events, keys, ts, late)
+    writer = counts.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    return writer.trigger(**({"availableNow": True} if every is None else {"processingTime": every})).start()
