@@ -6,7 +6,7 @@ import datetime as dt
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from adfeat.config import AD_PLATFORM
@@ -29,9 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out by key over ``spark.sql.shuffle.partitions`` tasks, whatever files they come from.
+
+    The inputs derived below cost more per row than reading it; a table of one file would leave that to one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def accu(spark: SparkSession, sf_dir: str, users: bool = False) -> DataFrame:
     """Pre-accumulated counts; every 13th creative id is missing."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     part = table(spark, sf_dir, "part")
     rows = line.join(part, line.l_partkey == part.p_partkey)
     if users:
@@ -73,7 +80,7 @@ def events(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> D
     """Events with the ad dimensions derived from ``props``."""
     k = F.get_json_object("props", "$.k").cast("int")
     if rows is None:
-        rows = table(spark, sf_dir, "events")
+        rows = spread(table(spark, sf_dir, "events"), "event_id")
     return rows.withColumn("k", k).select(
         "event_id", "user_id", "event_type", "value", "k", "ts",
         F.col("event_id").cast("string").alias("requestid"),
@@ -140,7 +147,7 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One response document per line item with one or two scored ads; every seventh position has none."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
     number = F.col("l_linenumber")
 
     def ad(i: int):
@@ -178,35 +185,40 @@ def ads_lines(spark: SparkSession, sf_dir: str, field: str) -> DataFrame:
     return docs
 
 
+def _other(same: Column, key: Column) -> Column:
+    """The key, or one that nothing else has: rows that are to match nothing."""
+    return F.when(same, key).otherwise(F.concat(F.lit("x"), key))
+
+
 def logged_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature log of the label events, one ad each; low bids and labels without creative were not logged."""
-    rows = labels(spark, sf_dir).where((F.col("bid_price") >= 11) & F.col("c_id").isNotNull())
+    """Feature log of the label events, one ad each; low bids were logged for other requests, missing creatives as -1."""
+    rows = labels(spark, sf_dir)
     ad = F.struct(
-        F.col("ad_id").cast("string").alias("camp_id"), F.col("c_id").cast("string").alias("creative_id"),
-        F.col("rid").alias("request_id"), F.struct(F.col("client_ip").alias("ip"), F.col("is_auto_download").alias("auto")).alias("feature"),
+        F.col("ad_id").cast("string").alias("camp_id"), F.coalesce("c_id", F.lit(-1)).cast("string").alias("creative_id"),
+        _other(F.col("bid_price") >= 11, F.col("rid")).alias("request_id"), F.struct(F.col("client_ip").alias("ip"), F.col("is_auto_download").alias("auto")).alias("feature"),
     )
     return rows.select(F.to_json(F.struct(F.array(ad).alias("rec_ads"))).alias("value"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores logged for the label events, but for low bids."""
-    rows = labels(spark, sf_dir).where(F.col("bid_price") >= 5)
+    """Scores logged for the label events; those of low bids under other request ids."""
+    rows = labels(spark, sf_dir)
     k = F.col("is_auto_download")
     return rows.select(
-        F.col("rid").alias("request_id"), F.col("c_id").alias("creative_id"), F.col("ad_id").alias("camp_id"),
+        _other(F.col("bid_price") >= 5, F.col("rid")).alias("request_id"), F.col("c_id").alias("creative_id"), F.col("ad_id").alias("camp_id"),
         F.col("ad_package_name").alias("app_id"), "package_name",
         (k / 4).alias("pctr"), (F.col("ad_id") / 64).alias("pcvr"),
     )
 
 
 def user_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base attributes of customers whose account is not overdrawn."""
+    """Base attributes of customers; those whose account is overdrawn have ids that no event has."""
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
     key = F.col("c_custkey")
-    return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).where(F.col("c_acctbal") >= 0).select(
-        key.cast("string").alias("user_id"),
+    return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).select(
+        _other(F.col("c_acctbal") >= 0, key.cast("string")).alias("user_id"),
         F.when(key % 4 != 0, (20 + key % 50).cast("string")).alias("age"),
         F.when(key % 3 != 0, F.when(key % 2 == 0, "m").otherwise("f")).alias("gender"),
         F.col("n_name").alias("country"), F.col("r_name").alias("province"), F.col("c_mktsegment").alias("city"),
@@ -215,11 +227,11 @@ def user_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def user_behaviour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apps per user and behaviour type."""
-    kind = F.when(F.col("event_type") == "view", "app_use").when(F.col("event_type") == "signup", "app_install") \
+    installed = (F.col("event_type") == "signup") & (F.col("value") < 5)  # other signups are no behaviour
+    kind = F.when(F.col("event_type") == "view", "app_use").when(installed, "app_install") \
         .when(F.col("event_type") == "click", "ad_app_click").when(F.col("event_type") == "purchase", "ad_app_install") \
         .otherwise(F.col("event_type"))
-    e = events(spark, sf_dir).where((F.col("event_type") != "signup") | (F.col("value") < 5))  # some users have no signup
-    return e.groupBy(F.col("beyla_id").alias("user_id"), kind.alias("action_type")).agg(
+    return events(spark, sf_dir).groupBy(F.col("beyla_id").alias("user_id"), kind.alias("action_type")).agg(
         F.collect_set("ad_package_name").alias("app_list")
     )
 
@@ -260,6 +272,18 @@ def rate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HALF = "2024-01-16"
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Events as a stream gets them: the first half of the month, the second, what comes late of both, and a message from a later
+    month that closes every window."""
+    rows = events(spark, sf_dir).select("event_id", "ad_id", "k", F.col("ts").cast("timestamp").alias("ts"))
+    late = F.col("k") % 17 == 0
+    end = spark.createDataFrame([(None, -1, None, dt.datetime(2024, 6, 1))], rows.schema)
+    return [rows.where(~late & (F.col("ts") < HALF)), rows.where(~late & (F.col("ts") >= HALF)), rows.where(late), end]
+
+
 def stream_lines(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Event messages in their envelope, one or two items each; those of a low value are malformed."""
     e = events(spark, sf_dir, rows=rows)

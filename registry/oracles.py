@@ -58,7 +58,7 @@ BJ = """bj AS (SELECT 'Bj1d' AS window_tag, 'ad_id' AS dim_set, cast(ad_id AS va
   FROM recent WHERE kind = 'attr_install' AND hour >= '2024013016' AND hour < '2024013116' GROUP BY ad_id)"""
 EV_RECENT = (EVENTS, IMP_CLICK, INSTALLS, RECENT, RECOUNT, BJ)
 
-MERGED = f"""accu_day AS (SELECT * FROM accu WHERE ad_package_name <> 'Brand#1'),
+MERGED = f"""accu_day AS (SELECT * REPLACE (CASE ad_package_name WHEN 'Brand#1' THEN 'Brand#1x' ELSE ad_package_name END AS ad_package_name) FROM accu),
 day AS ({rollup('accu_day', ('ad_package_name', 'ad_package_category'), [], where="window_tag = '7d'").replace('SELECT , ', 'SELECT ')}),
 hourly AS ({rollup('accu', ('ad_package_name', 'ad_package_category'), [], where="window_tag = '30d'").replace('SELECT , ', 'SELECT ')}),
 totals AS (SELECT sum(imp) AS all_imp, sum(attr_install) AS all_install FROM day WHERE dim_set = 'ad_package_category'),
@@ -80,14 +80,14 @@ merged AS (
 
 # profiles
 
-ACTION = """CASE event_type WHEN 'view' THEN 'app_use' WHEN 'signup' THEN 'app_install' WHEN 'click' THEN 'ad_app_click'
-      WHEN 'purchase' THEN 'ad_app_install' END"""
+ACTION = """CASE WHEN event_type = 'view' THEN 'app_use' WHEN event_type = 'signup' AND value < 5 THEN 'app_install'
+      WHEN event_type = 'click' THEN 'ad_app_click' WHEN event_type = 'purchase' THEN 'ad_app_install' END"""
 BASE = """base AS (
-  SELECT cast(c_custkey AS varchar) AS user_id,
+  SELECT CASE WHEN c_acctbal >= 0 THEN '' ELSE 'x' END || c_custkey AS user_id,
     coalesce(CASE WHEN c_custkey % 4 <> 0 THEN cast(20 + c_custkey % 50 AS varchar) END, '') AS age,
     coalesce(CASE WHEN c_custkey % 3 <> 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'm' ELSE 'f' END END, '') AS gender,
     n_name AS country, r_name AS province, c_mktsegment AS city
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE c_acctbal >= 0)"""
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
 def app_list(action: str, restricted: bool) -> str:
@@ -96,8 +96,7 @@ def app_list(action: str, restricted: bool) -> str:
       FROM acts WHERE action_type = '{action}' GROUP BY user_id)"""
 
 
-PROFILE = f"""acts AS (SELECT beyla_id AS user_id, {ACTION} AS action_type, ad_package_name FROM ev
-  WHERE event_type <> 'signup' OR value < 5),
+PROFILE = f"""acts AS (SELECT beyla_id AS user_id, {ACTION} AS action_type, ad_package_name FROM ev),
 users AS (SELECT user_id FROM base UNION SELECT user_id FROM acts WHERE action_type IS NOT NULL),
 prof AS (
   SELECT u.user_id, b.age, b.gender, b.country, b.province, b.city, b.user_id IS NOT NULL AS has_base,
@@ -136,17 +135,19 @@ def slot_name(name: str) -> str:
 
 
 def sample_sql(parts: tuple[str, ...], ad_sets, install: str, nation: bool, where: str, profile: str) -> str:
-    ad_joins, ad_json, user_joins, user_json = [], [], [], []
-    for i, s in enumerate(ad_sets):
-        extra = f" AND a{i}.nation = lab.nation" if nation else ""
-        ad_joins.append(f"LEFT JOIN ad_cells a{i} ON a{i}.dim_set = '{s}' AND a{i}.dim_key = {key_text(s, 'lab.')}{extra}")
-        ad_json.append(f"'\"{slot_name(s)}\":' || coalesce(a{i}.cell, '{{}}')")
-    for i, s in enumerate(USER_SETS):
-        user_joins.append(
-            f"LEFT JOIN user_cells u{i} ON u{i}.user_id = lab.user_id AND u{i}.dim_set = '{s}' AND u{i}.dim_key = {key_text(s, 'lab.')}"
-        )
-        user_json.append(f"'\"{slot_name(s)}\":' || coalesce(u{i}.cell, '{{}}')")
-    nl = "\n"
+    """One join per counter table: the keys of a label are unnested, its cells gathered again by conditional aggregates."""
+
+    def found(name: str, table: str, sets, owner: str) -> str:
+        names = "[" + ", ".join(f"'{x}'" for x in sets) + "]"
+        keys = "[" + ", ".join(key_text(x, "lab.") for x in sets) + "]"
+        own = f", {owner}" if owner else ""
+        columns = ", ".join(f"max(cell) FILTER (dim_set = '{x}') AS {name}{i}" for i, x in enumerate(sets))
+        using = f"({f'{owner}, ' if owner else ''}dim_set, dim_key)"
+        return (f"{name}_found AS (SELECT rid, {columns} FROM (SELECT rid{own}, unnest({names}) AS dim_set, unnest({keys}) AS dim_key FROM lab) "
+                f"JOIN {table} USING {using} GROUP BY rid)")
+
+    ad_json = [f"'\"{slot_name(x)}\":' || coalesce(a{i}, '{{}}')" for i, x in enumerate(ad_sets)]
+    user_json = [f"'\"{slot_name(x)}\":' || coalesce(u{i}, '{{}}')" for i, x in enumerate(USER_SETS)]
     nation_json = "',\"nation\":' || " + quoted("lab.nation") + " || " if nation else ""
     context = (
         f"'{{\"posId\":' || {quoted('lab.pos_id')} || ',\"appName\":' || {quoted('lab.package_name')} || {nation_json}"
@@ -163,19 +164,18 @@ def sample_sql(parts: tuple[str, ...], ad_sets, install: str, nation: bool, wher
         *parts,
         f"ad_cells AS MATERIALIZED ({cells('ad_long', 'nation' if nation else '', install)})",
         f"user_cells AS MATERIALIZED ({cells('user_long', 'user_id', install)})",
+        found("a", "ad_cells", ad_sets, "nation" if nation else ""), found("u", "user_cells", USER_SETS, "user_id"),
     ) + f"""SELECT rid, '{{"label":{{"click":' || is_click || ',"{install}":' || is_attr_install || '}},"feature":{{"userProfile":{{"userId":'
   || {quoted('lab.user_id')} || ',"userBase":' || coalesce(p.base_json, '{{}}') || ',"userBehavior":' || coalesce(p.behaviour_json, '{{}}')
   || ',"userCounter":{{' || {user_json[0]} || '}}}},"userAdFeature":{{"userAdCount":{{' || {" || ',' || ".join(user_json[1:])}
   || '}}}},"context":' || {context} || ',"adData":{{"adInfo":' || {info} || ',"adCounter":{{' || {" || ',' || ".join(ad_json)} || '}}}}}}}}' AS sample
-FROM lab LEFT JOIN {profile} p ON lab.user_id = p.user_id
-{nl.join(ad_joins)}
-{nl.join(user_joins)}
+FROM lab LEFT JOIN {profile} p ON lab.user_id = p.user_id LEFT JOIN a_found USING (rid) LEFT JOIN u_found USING (rid)
 WHERE {where}"""
 
 
-LOGGED = """logged AS (SELECT ad_id, c_id AS creative_id, rid AS request_id,
+LOGGED = """logged AS (SELECT ad_id, coalesce(c_id, -1) AS creative_id, CASE WHEN bid_price >= 11 THEN '' ELSE 'x' END || rid AS request_id,
   '{"ip":"' || client_ip || '","auto":' || is_auto_download || '}' AS feature
-  FROM lab WHERE bid_price >= 11 AND c_id IS NOT NULL)"""
+  FROM lab)"""
 
 # feature analysis
 
@@ -410,6 +410,26 @@ FROM lab WHERE package_name = 'app.two' AND bid_price >= 5 AND c_id IS NOT NULL"
     "bid_weighted_auc": BID_AUC,
     "stream_events": with_(EVENTS, STREAM),
     "stream_events_live": with_(EVENTS, STREAM),
+    "stream_flush_live": with_(EVENTS, STREAM).replace("SELECT event_name,", "SELECT concat_ws(chr(9), event_name, beyla_id, package_name, pos_id, ad_package_name, ad_id, c_id) AS value FROM (SELECT event_name,") + ")",
+    "rolling_24h_live": with_(EVENTS) + """, passed AS (SELECT max(ts) - INTERVAL 6 HOURS AS mark FROM ev WHERE k % 17 <> 0),
+kept AS (SELECT ts, ad_id FROM ev, passed WHERE k % 17 <> 0 OR date_trunc('hour', ts) + INTERVAL 1 HOUR > mark),
+spread AS (SELECT unnest(generate_series(1, 24)) AS h)
+SELECT strftime(date_trunc('hour', ts) + to_hours(h), '%Y%m%d%H') AS end_hour, ad_id, count(*) AS n FROM kept, spread GROUP BY 1, 2""",
+    "calibration_model_file": REC + "SELECT row_number() OVER (ORDER BY prate) - 1 AS position, bucket, n, clicks, round(rate, 9) AS rate FROM rated",
+    "recount_from_files": with_(
+        EVENTS, *[x.replace(" pos_id,", " CASE pos_id WHEN 'p3' THEN '' ELSE pos_id END AS pos_id,") for x in (IMP_CLICK, INSTALLS)],
+        RECENT.replace(LAST_24.format(w="true"), LAST_24.format(w="true").replace("FROM ev", "FROM imp_click"))
+        .replace(LAST_24.format(w="event_type = 'purchase'"), LAST_24.format(w="true").replace("FROM ev", "FROM installs")), RECOUNT,
+    ) + "SELECT * FROM recount",
+    "catalogue_hours": with_(EVENTS) + "SELECT event_id, event_type, k, hour FROM ev",
+    "hour_lines_read": with_(EVENTS) + "SELECT event_id, pos_id, k FROM ev WHERE hour LIKE '202401%'",
+    "allow_list_read": with_(EVENTS) + "SELECT DISTINCT ad_package_name AS app FROM ev",
+    "entity_store_lookup": with_(ACCU, USER_LONG) + """SELECT user_id, dim_set, dim_key, window_tag, imp, click, attr_install FROM user_long
+WHERE user_id IN (SELECT cast(user_id * 5 AS varchar) FROM events)""",
+    "paired_days": with_(EVENTS) + """, days AS (SELECT user_id, date_trunc('day', ts) AS day, count(*) AS n, max(event_id) AS last FROM ev GROUP BY ALL)
+SELECT strftime(ev.ts - INTERVAL 1 DAY, '%Y%m%d') AS feature_dt, ev.user_id, ev.event_id, strftime(ev.ts, '%Y%m%d') AS dt, n, last
+FROM ev LEFT JOIN days d ON d.user_id = ev.user_id AND d.day = date_trunc('day', ev.ts) - INTERVAL 1 DAY""",
+    "published_counters": with_(ACCU, AD_LONG) + "SELECT * FROM ad_long",
     "rolling_24h": with_(EVENTS) + """, spread AS (SELECT unnest(generate_series(1, 24)) AS h)
 SELECT strftime(date_trunc('hour', ts) + to_hours(h), '%Y%m%d%H') AS end_hour, ad_id, count(*) AS n FROM ev, spread GROUP BY 1, 2""",
     "kv_export": with_(ACCU, USER_LONG) + f"""SELECT 'nt:ads:user_counter:' || user_id AS entity_key, 0 AS part,

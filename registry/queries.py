@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from adfeat.config import MAIN, NATION, SmoothingRules, USER_PROFILE_KEY_PREFIX, dim_sets
+from adfeat.config import MAIN, NATION, SmoothingRules, USER_COUNTER_KEY_PREFIX, USER_PROFILE_KEY_PREFIX, dim_sets
 from adfeat.functions.keys import ascii_or_empty
 from adfeat.functions.timing import hour_of, local_day_hours, shift_hour
 from adfeat.operators import calibration as cal
 from adfeat.operators import counters, features, flatten, profile, project, ranking, refresh, samples
-from adfeat.sinks import export
-from adfeat.sources import logs, stores
+from adfeat.plans import hourly
+from adfeat.sinks import export, ordered, publish
+from adfeat.sources import catalogue, logs, stores
 from adfeat.streaming import events as stream
 from registry import fixtures as fx
 
@@ -113,7 +116,8 @@ def counter_refresh(spark, d):
 def _merged(spark, d):
     accu = fx.accu(spark, d)
     sets = _only(*refresh.SMOOTHED_SETS)
-    day = counters.ad_counters(accu.where(F.col("ad_package_name") != "Brand#1"), sets)
+    renamed = F.when(F.col("ad_package_name") == "Brand#1", "Brand#1x").otherwise(F.col("ad_package_name"))  # in one of both only
+    day = counters.ad_counters(accu.withColumn("ad_package_name", renamed), sets)
     return refresh.merge_smooth(day, counters.ad_counters(accu, sets), RULES)
 
 
@@ -191,9 +195,10 @@ def _sample_labels(spark, d):
 
 
 def train_sample_lookup(spark, d):
+    labels = _sample_labels(spark, d)
+    users = samples.of_label_users(fx.accu(spark, d, users=True), labels)
     out = samples.assemble_samples(
-        _sample_labels(spark, d), ad_counter_rollup(spark, d), counters.user_counter_rows(fx.accu(spark, d, users=True)),
-        _profiles(spark, d), MAIN, ("rid",),
+        labels, ad_counter_rollup(spark, d), counters.user_counter_rows(users), _profiles(spark, d), MAIN, ("rid",),
     )
     return out.select("rid", samples.sample_json().alias("sample"))
 
@@ -313,6 +318,85 @@ def bid_weighted_auc(spark, d):
     return ranking.bid_weighted_auc(ranking.ecpm_rows(fx.rate_rows(spark, d))).select(F.round("auc", 9).alias("auc"))
 
 
+def calibration_model_file(spark, d):
+    """The model through its ordered file, in parts of a few lines."""
+    path = f"{fx.scratch(spark)}/model"
+    ordered.write_calibration_model(_model(spark, d), path, lines_per_file=4)
+    model = ordered.read_calibration_model(spark, path)
+    return model.select("position", "bucket", F.col("n").cast("bigint").alias("n"), F.col("clicks").cast("bigint").alias("clicks"), F.round("rate", 9).alias("rate"))
+
+
+# files, catalogue and stores
+
+def recount_from_files(spark, d):
+    """The recount of the newest hours through TSV folders per hour, positions of some rows being empty."""
+    root = fx.scratch(spark)
+    some = F.when(F.col("pos_id") != "p3", F.col("pos_id")).otherwise("")
+    shows = project.project_imp_click(fx.cpi_log(spark, d), fx.PACKAGES, keep=("hour",)).withColumn("pos_id", some)
+    installs = project.project_install(fx.install_log(spark, d), (*fx.PACKAGES, fx.EXCLUDED_PACKAGE), keep=("hour",)).withColumn("pos_id", some)
+    for name, rows in (("shows", shows), ("installs", installs)):
+        export.write_hourly_tsv(rows, f"{root}/{name}")
+    return counters.event_counters(*hourly.recent_events(spark, f"{root}/shows", f"{root}/installs", fx.EXCLUDED_PACKAGE))
+
+
+def catalogue_hours(spark, d):
+    """Events through an hourly table of the catalogue; the last hour of each day is written and registered late."""
+    root, name = fx.scratch(spark), f"hours_{uuid.uuid4().hex}"
+    rows = fx.events(spark, d).select("event_id", "event_type", "k", "hour")
+    catalogue.create_hour_table(spark, name, "event_id BIGINT, event_type STRING, k INT", root)
+    late = F.substring("hour", 9, 2) == "23"
+    for part in (rows.where(~late), rows.where(late)):
+        catalogue.write_hours(part, root)
+        catalogue.register_hours(spark, name, catalogue.hours_of(part))
+    return catalogue.scan_hours(spark, name)
+
+
+def hour_lines_read(spark, d):
+    """Flattened lines written per hour as JSON and read back a month at a time."""
+    root = fx.scratch(spark)
+    lines = fx.events(spark, d).select("hour", F.to_json(F.struct("event_id", "pos_id", "k")).alias("value"))
+    catalogue.write_hours(lines, root, form="text")
+    return logs.read_day_json(spark, root, "202401*", "event_id bigint, pos_id string, k int")
+
+
+def allow_list_read(spark, d):
+    path = f"{fx.scratch(spark)}/apps"
+    fx.events(spark, d).select("ad_package_name").write.text(path)
+    return stores.read_allow_list(spark, path)
+
+
+def entity_store_lookup(spark, d):
+    """Counters of the users of the events from a bucketed entity store."""
+    name = f"store_{uuid.uuid4().hex}"
+    entries = export.user_counter_entries(counters.user_counter_rows(fx.accu(spark, d, users=True)), PUBLISHED_AT)
+    prefix = F.lit(len(USER_COUNTER_KEY_PREFIX) + 1)
+    entities = entries.select(F.substring("entity_key", prefix, F.length("entity_key")).alias("user_id"), F.col("value").alias("pb"))
+    stores.write_entity_store(entities, name, 8, f"{fx.scratch(spark)}/store")
+    users = fx.table(spark, d, "events").select((F.col("user_id") * 5).cast("string").alias("user_id"))
+    return stores.counters_of_users(users, name)
+
+
+def paired_days(spark, d):
+    """Each event with what its user did the day before."""
+    root = fx.scratch(spark)
+    rows = fx.events(spark, d).withColumn("dt", F.substring("hour", 1, 8))
+    daily = rows.groupBy("dt", "user_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last"))
+    daily.repartition("dt").write.partitionBy("dt").parquet(root)
+    features = spark.read.schema("user_id bigint, n bigint, last bigint, dt string").parquet(root)
+    return samples.pair_days(rows.select("event_id", "user_id", "dt"), features, ["user_id"])
+
+
+def published_counters(spark, d):
+    """Counters published in two versions, a refused one between them; readers get the last that passed."""
+    root, rows = fx.scratch(spark), ad_counter_rollup(spark, d)
+    publish.publish(rows.where("dim_set = 'ad_id'"), root)
+    try:
+        publish.publish(rows.withColumn("click", F.col("click") - 20), root)
+    except publish.Refused:
+        publish.publish(rows, root, partition_by=("dim_set",))
+    return publish.read_published(spark, root, rows.schema)
+
+
 # stream twins and publishing
 
 def stream_events(spark, d):
@@ -331,6 +415,29 @@ def stream_events_live(spark, d):
     return spark.read.parquet(f"{root}/rows")
 
 
+def stream_flush_live(spark, d):
+    """Decoded events flushed as TSV into five-minute buckets; the stream stops after half of the messages and goes on."""
+    root = fx.scratch(spark)
+    lines = fx.stream_lines(spark, d)
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (lines.where(first), lines.where(~first)):
+        part.select("value").write.mode("append").text(f"{root}/messages")
+        messages = spark.readStream.text(f"{root}/messages")
+        stream.write_buckets(stream.decode_events(messages, ("app.one", "app.two")), f"{root}/buckets", f"{root}/checkpoint", once=True).awaitTermination()
+    return spark.read.schema("value string, bucket string").text(f"{root}/buckets").where(F.length("bucket") == 12).select("value")
+
+
+def rolling_24h_live(spark, d):
+    """The rolling counts as a stream with state and a watermark of six hours, stopped and started again between deliveries."""
+    root = fx.scratch(spark)
+    for part in fx.deliveries(spark, d):
+        part.write.mode("append").parquet(f"{root}/events")
+        source = spark.readStream.schema(part.schema).parquet(f"{root}/events")
+        stream.write_rolling(source, ["ad_id"], f"{root}/rows", f"{root}/checkpoint", late="6 hours").awaitTermination()
+    rows = spark.read.parquet(f"{root}/rows").where("ad_id >= 0")
+    return rows.select(hour_of("window_end").alias("end_hour"), "ad_id", "n")
+
+
 def rolling_24h(spark, d):
     return stream.rolling_day_counts(fx.events(spark, d), ["ad_id"]).select(hour_of("window_end").alias("end_hour"), "ad_id", "n")
 
@@ -375,5 +482,6 @@ QUERIES = {f.__name__: f for f in (
     index_allocation, index_allocation_compact, encoded_examples,
     ctr_buckets, isotonic_model, calibrated_scores, calibrated_scores_inclusive, calibration_bias,
     auc, auc_signed, bid_weighted_auc,
-    stream_events, stream_events_live, rolling_24h, kv_export, kv_profile_export, kv_lookup, validate_export, artefact_manifest,
+    calibration_model_file, recount_from_files, catalogue_hours, hour_lines_read, allow_list_read, entity_store_lookup, paired_days, published_counters,
+    stream_events, stream_events_live, stream_flush_live, rolling_24h, rolling_24h_live, kv_export, kv_profile_export, kv_lookup, validate_export, artefact_manifest,
 )}
