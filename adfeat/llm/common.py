@@ -87,6 +87,17 @@ def on_doc(left: DataFrame, right: DataFrame, how: str = "left", size: int | Non
     return left.join(right, same, how).drop("__doc_id", "__text_key")
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, whatever their names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def rows_without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """The documents, all columns whatever their names, but for those of the (doc_id, text_key) in `bad`."""
+    keyed = docs.select(whole_row(docs).alias("row"), "doc_id", text_key().alias("text_key"))
+    return on_doc(keyed, bad.select("doc_id", "text_key"), "left_anti").select("row.*")
+
+
 def numbered(df: DataFrame, key: str, task: Callable | None = None, schema: str = "") -> DataFrame:
     """The rows with `rank`: gapless from 0 within each value of an integer column, in no particular order. If a task is given
     (Arrow batches to batches, with their schema), its rows are numbered in the same pass.

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import cut, let, on_doc, saved, small, text_key, upto
+from adfeat.llm.common import cut, let, on_doc, saved, small, text_key, upto, whole_row
 
 KINDS = ["email", "ip", "card", "phone"]
 #: kind: what a text must hold for a match, and the shape; possessive, so that long runs take linear time without recursion.
@@ -189,6 +189,6 @@ def redacted(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame) -> DataFrame:
     """The documents, all columns, with personal data in `text` replaced; rows without any keep their text, null included."""
     spans = find(docs).filter(F.size("spans") > 0).select("doc_id", "text_key", F.col("spans").alias("__spans")).dropDuplicates(["doc_id", "text_key"])
-    keyed = docs.select("doc_id", text_key().alias("text_key"), F.struct(*docs.columns).alias("row"))
+    keyed = docs.select("doc_id", text_key().alias("text_key"), whole_row(docs).alias("row"))
     text = F.when(F.col("__spans").isNotNull(), redacted(F.col("row.text"), F.col("__spans"))).otherwise(F.col("row.text"))
     return on_doc(keyed, spans).select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

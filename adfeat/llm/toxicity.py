@@ -10,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import UPPER
+from adfeat.llm.common import UPPER, saved, small, text_key
 from adfeat.llm.encoding import frugal, raw
 
 BITS, PREFIX = 18, 5  # hashed features, characters of a word's beginning that are a feature too
-POSITIVES, UNLABELLED = 5_000, 13_000  # most rows of the training sample
+POSITIVES, UNLABELLED = 6_000, 18_000  # the training sample has about so many different texts at most
 FEATURES, STEPS, RATE, DECAY = 2_000, 200, 0.1, 1e-4
 THRESHOLD = 0.7
 
@@ -51,30 +51,31 @@ def sums(weights: np.ndarray, at: np.ndarray, ids: np.ndarray, rows: int) -> np.
     return np.bincount(at, weights[ids], minlength=rows)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic classifier under the non-negative risk
-    prior * E_pos[l(+)] + max(0, E_unl[l(-)] - prior * E_pos[l(-)]).
+def chosen_features(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The FEATURES most frequent among positives beyond their share in unlabelled text; counts: (unlabelled, positive) x features."""
+    u, p = counts / np.maximum(rows, 1)[:, None]
+    lift = (p - u) / np.sqrt(np.maximum(u, 1 / max(rows[0], 1)))
+    chosen = np.argsort(-lift, kind="stable")[:FEATURES]
+    return chosen[lift[chosen] > 0]
 
-    Features are first narrowed to those most frequent among positives beyond their share in unlabelled text.
-    """
-    size = 1 << BITS
-    weights = np.zeros(size)
+
+def risk(w: np.ndarray, b: float, positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> float:
+    """prior * E_pos[l(+)] + max(0, E_unl[l(-)] - prior * E_pos[l(-)]) with logistic losses: what training lowers."""
+    z_p, z_u = (np.array([w[r].sum() + b for r in rows]) for rows in (positive, unlabelled))
+    lose = lambda z: np.logaddexp(0, z).mean()
+    return prior * lose(-z_p) + max(0.0, lose(z_u) - prior * lose(z_p))
+
+
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, n: int) -> tuple[np.ndarray, float]:
+    """Weights of n features and bias of a logistic classifier under the non-negative risk; rows are lists of features."""
     if not positive or not unlabelled:
-        return weights, float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
-    share = lambda rows: np.bincount(np.concatenate([*rows, np.empty(0, np.int64)]), minlength=size) / len(rows)
-    p, u = share(positive), share(unlabelled)
-    lift = (p - u) / np.sqrt(np.maximum(u, 1 / len(unlabelled)))
-    chosen = np.argsort(-lift, kind="stable")[:FEATURES]
-    chosen = chosen[lift[chosen] > 0]
-    place = np.full(size, -1)
-    place[chosen] = np.arange(len(chosen))
+        return np.zeros(n), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
 
     def packed(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        kept = [place[r][place[r] >= 0] for r in rows]
-        return np.repeat(np.arange(len(rows)), [len(k) for k in kept]), np.concatenate([*kept, np.empty(0, np.int64)])
+        return np.repeat(np.arange(len(rows)), [len(k) for k in rows]), np.concatenate([*rows, np.empty(0, np.int64)])
 
     (pa_, pi), (ua, ui) = packed(positive), packed(unlabelled)
-    n_p, n_u, n = len(positive), len(unlabelled), len(chosen)
+    n_p, n_u = len(positive), len(unlabelled)
     w, b = np.zeros(n), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(n + 1), np.zeros(n + 1)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
@@ -90,42 +91,75 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
-    weights[chosen] = w
-    return weights, float(b)
+    return w, float(b)
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(positive, features as 32-bit integers) of the rows."""
+    """(positive, features) of the rows."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
+        for batch in (whole.slice(at, 256) for whole in batches for at in range(0, whole.num_rows, 256)):
+            found = pa.array([hasher(t) for t in raw(batch.column("text"))], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("positive"), found], names=["positive", "features"])
+
+    return docs.select("positive", "text").mapInArrow(frugal(task), "positive boolean, features array<int>")
+
+
+def narrowed(rows: DataFrame, chosen: np.ndarray) -> DataFrame:
+    """The rows with the places of the chosen features alone, as 16-bit numbers: no row is larger than the choice."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = np.full(1 << BITS, -1, "<i2")
+        place[chosen] = np.arange(len(chosen))
         for batch in batches:
-            found = [hasher(t).astype("<i4").tobytes() for t in raw(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(found, pa.binary())], names=["positive", "features"])
+            kept = [place[x.values.to_numpy()] for x in batch.column("features")]
+            yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array([k[k >= 0].tobytes() for k in kept], pa.binary())], names=["positive", "places"])
 
-    return docs.select("positive", "text").mapInArrow(frugal(task), "positive boolean, features binary")
+    return rows.mapInArrow(task, "positive boolean, places binary")
 
 
-def sampled(df: DataFrame, bound: int, rows: int) -> DataFrame:
-    """About `bound` rows, chosen by a hash of doc_id, the same in every run."""
-    share = min(1.0, 0.9 * bound / max(1, rows))
-    return df if share == 1.0 else df.filter(F.pmod(F.xxhash64(F.lit(8), F.col("doc_id")), F.lit(1_000_000)) < int(share * 1_000_000))
+def sampled(rows: DataFrame, bound: int, n: int) -> DataFrame:
+    """About 0.9 * `bound` different (doc_id, text) of n rows, or all of few rows: chosen by a hash of both, each once, so that
+    neither an id nor a text of very many rows fills the sample or is missing from it as a whole."""
+    share = min(1.0, 0.9 * bound / max(1, n))
+    keyed = rows.select("doc_id", "text", text_key().alias("text_key"))
+    some = keyed.filter(F.pmod(F.xxhash64(F.lit(8), F.col("doc_id"), F.col("text_key")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)))
+    return some.groupBy("doc_id", "text_key").agg(F.first("text").alias("text")).select("text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> tuple[np.ndarray, float]:
-    """The classifier, from rows that are not held out. Its sample has at most about `positives` confirmed toxic texts and
-    `unlabelled` others, chosen by a hash of their id; the class prior is the toxic share of all labels used."""
+    """The classifier, from rows that are not held out. It learns from at most about `positives` confirmed toxic texts and `unlabelled`
+    others, chosen by a hash of id and text; the class prior is the toxic share of all labels used.
+
+    Spark counts the features of the sample per side; the driver gets the 2^BITS counts, and of each text the places of the
+    FEATURES chosen ones: 2 bytes each."""
     learn = remainder() != 1
     known = labels.filter(learn & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     counts = known.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("toxic").cast("long")), F.lit(0)).alias("toxic")).first()
     prior = min(0.9, max(0.001, counts["toxic"] / max(1, counts["n"])))
     usable = docs.filter(learn).select("doc_id", "text")
-    toxic = sampled(known.filter("toxic = 1"), positives, counts["toxic"]).select("doc_id")
-    texts = sampled(usable, positives, counts["toxic"]).join(toxic, "doc_id", "left_semi").withColumn("positive", F.lit(True))
+    # more ids than texts are wanted would only be dropped again
+    share = int(min(1.0, positives / max(1, counts["toxic"])) * 1_000_000)
+    ids = known.filter((F.col("toxic") == 1) & (F.pmod(F.xxhash64(F.lit(9), F.col("doc_id")), F.lit(1_000_000)) < share)).select("doc_id")
+    sizes = ids.agg(F.count("*"), F.sum(F.octet_length(F.col("doc_id").cast("string")))).first()
+    confirmed = usable.join(small(ids, 1, 16 * sizes[0] + (sizes[1] or 0)), "doc_id", "left_semi")
+    texts = sampled(confirmed, positives, confirmed.count()).withColumn("positive", F.lit(True))
     others = sampled(usable, unlabelled, usable.count()).withColumn("positive", F.lit(False))
-    rows = features(texts.unionByName(others)).collect()
-    made = {side: [np.frombuffer(r["features"], "<i4").astype(np.int64) for r in rows if r["positive"] == side] for side in (True, False)}
-    return train(made[True], made[False], prior)
+    rows = saved(features(texts.unionByName(others)))
+    found, n_rows = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
+    for r in rows.groupBy("positive").count().collect():
+        n_rows[int(r["positive"])] = r["count"]
+    held = rows.select(F.col("positive").cast("int").alias("side"), F.explode("features").alias("feature")).groupBy("side", "feature").count().toArrow()
+    found[held.column("side").to_numpy(), held.column("feature").to_numpy()] = held.column("count").to_numpy()
+    chosen = chosen_features(found, n_rows)
+    small_rows = narrowed(rows, chosen).toArrow()
+    made: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    for side, places in zip(small_rows.column("positive").to_pylist(), small_rows.column("places").to_pylist()):
+        made[side].append(np.frombuffer(places, "<i2").astype(np.int64))
+    weights = np.zeros(1 << BITS)
+    weights[chosen], bias = train(made[True], made[False], prior, len(chosen))
+    return weights, bias
 
 
 def scorer(weights: np.ndarray, bias: float) -> Callable[[], Callable[[pa.Array], np.ndarray]]:
@@ -166,9 +200,12 @@ def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents, all columns, whose score is below 0.7."""
     scores = scorer(*fit(docs, labels))
 
+    at = docs.columns.index("text")
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])  # names of any kind pass through
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = scores()
         for batch in batches:
-            yield batch.filter(pa.array(of(batch.column("text")) < THRESHOLD))
+            yield batch.filter(pa.array(of(batch.column(at)) < THRESHOLD))
 
-    return docs.mapInArrow(frugal(task), docs.schema)
+    return plain.mapInArrow(frugal(task), plain.schema).toDF(*docs.columns)

@@ -296,6 +296,37 @@ def test_toxicity_on_held_out_rows(spark, odd):
     assert toxicity.accepted(odd, labels).columns == odd.columns
 
 
+def test_training_lowers_the_non_negative_risk():
+    rng = np.random.default_rng(2)
+    positive = [rng.choice(6, 3, replace=False) for _ in range(80)]
+    unlabelled = [rng.choice(20, 3, replace=False) for _ in range(300)] + [rng.choice(6, 3, replace=False) for _ in range(30)]
+
+    def brute(w, b, prior):
+        loss = lambda z: math.log(1 + math.exp(z))
+        z = lambda rows: [sum(w[k] for k in r) + b for r in rows]
+        mean = lambda values: sum(values) / len(values)
+        p, u = z(positive), z(unlabelled)
+        return prior * mean([loss(-x) for x in p]) + max(0.0, mean([loss(x) for x in u]) - prior * mean([loss(x) for x in p]))
+
+    for prior in (0.1, 0.5):
+        w, b = toxicity.train(positive, unlabelled, prior, 20)
+        assert toxicity.risk(w, b, positive, unlabelled, prior) == pytest.approx(brute(w, b, prior))
+        assert brute(w, b, prior) < brute(np.zeros(20), math.log(prior / (1 - prior)), prior)
+        assert w[:6].min() > w[6:].max()
+    w, b = toxicity.train(positive, unlabelled, 0.1, 20)  # near a minimum: no step along a weight gains much
+    assert all(toxicity.risk(w + d, b, positive, unlabelled, 0.1) > toxicity.risk(w, b, positive, unlabelled, 0.1) - 0.01
+               for k in range(20) for d in (0.2 * np.eye(20)[k], -0.2 * np.eye(20)[k]))
+
+
+def test_the_training_sample_is_bounded_and_misses_no_id(spark):
+    rows = spark.range(20_000).selectExpr("CASE WHEN id % 5 < 2 THEN 7 ELSE id END AS doc_id", "concat('text ', id) AS text")
+    some = toxicity.sampled(rows.withColumn("text_key", F.lit("clash")), 2000, 20_000).collect()
+    assert 1500 < len(some) < 2100
+    assert 500 < sum(int(r.text[5:]) % 5 < 2 for r in some) < 900  # a hot id is there by its share
+    copies = spark.range(5000).selectExpr("1 AS doc_id", "concat('t', id % 3) AS text")
+    assert toxicity.sampled(copies, 10**6, 5000).count() == 3  # copies count once
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(300, 40), (16_384, 512)])
 def test_token_counts_equal_the_library(odd, docs, chunk, overlap):
     both = odd.select("doc_id", "text").unionByName(docs.select("doc_id", "text"))
@@ -327,6 +358,23 @@ def test_pipeline_stages_keep_columns_and_take_effect(spark, docs):
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "decontamination", "pii", "packing"]
 
 
+def test_pipeline_stages_take_any_rows_and_columns(spark, odd):
+    clashing = odd.selectExpr("doc_id", "text", "lang", "source", "42 AS text_key", "'x' AS __doc_id", "1.5D AS row", "array(1) AS part", "'n' AS node", "2 AS spans", "3 AS `a.b`")
+    found = clashing
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        made = stage(spark, found, SF).cache()
+        assert made.dtypes == found.dtypes, name
+        assert name not in ("toxicity", "decontamination") or stage(spark, clashing.limit(0), SF).count() == 0
+        found = made
+    kept = {(r.doc_id, r.text): r for r in found.collect()}
+    assert all(r.text_key == 42 and r["__doc_id"] == "x" and r.row == 1.5 and r.part == [1] for r in kept.values())
+    assert sum(i == 3 for i, _ in kept) == 1 and len(kept) == found.count()  # repeated rows and equal texts once
+    assert sum(t in (None, "") for _, t in kept) == 1  # empty texts are copies
+    assert max(len(t or "") for _, t in kept) == len(LONG)
+    sequences = corpus_pipeline.STAGES[-1][1](spark, found, SF)
+    assert sequences.select("doc_id").distinct().count() == len({i for i, _ in kept})
+
+
 def test_query_digests(spark):
     got = {r.doc_id: r for r in QUERIES["op6_pii_bootstrap"](spark, SF).collect()}
     for r in spark.read.parquet(f"{SF}/documents.parquet").collect():
