@@ -16,7 +16,8 @@ from adfeat.llm.common import saved
 from adfeat.llm.encoding import ByteEncoder, frugal, raw, steps
 
 HOT_KEYS = 200_000  # a pair is hot if it holds more than one in so many rows: no more than so many pairs are
-PAIRS = 4_000_000  # links made at a time
+PAIRS = 1_000_000  # links made at a time
+RUN = 1_500_000  # bytes of texts aligned together
 SHIFT = 15  # bits of an id of the second vocabulary in a pair
 
 ALIGNED = "doc_id {}, n_a long, n_b long, n_groups long, n_links long, groups binary, pairs array<int>, links array<bigint>"
@@ -217,7 +218,7 @@ def aligner(first: str, second: str) -> Callable:
 
         for batch in batches:
             at = 0
-            for run in steps(batch.column("text")):
+            for run in steps(batch.column("text"), RUN):
                 made = aligned(run)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(at, len(run)), *made], names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "links"])

@@ -52,12 +52,12 @@ def raw(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def steps(column: pa.Array) -> Iterator[pa.Array]:
-    """The texts in runs of about STEP bytes."""
+def steps(column: pa.Array, step: int = STEP) -> Iterator[pa.Array]:
+    """The texts in runs of about `step` bytes."""
     sizes = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
     start = 0
     while start < len(column):
-        end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + STEP)) + 1
+        end = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + step)) + 1
         yield column.slice(start, end - start)
         start = end
 
