@@ -9,18 +9,20 @@ from pyspark.sql import functions as F
 
 from adfeat.llm.common import cut, let, space_words, upto
 
-#: Each rule votes bad (-1) from the first bound on, good (1) up to the second, if it has one, and abstains otherwise: a
-#: text without one fault isn't thereby good.
-RULES: dict[str, tuple[str, float, float | None]] = {
-    "symbols": ("n_symbols / n_words", 0.10, None),
-    "capitals": ("n_upper / word_chars", 0.50, None),
-    "exclamations": ("n_exclaim / n_words", 0.20, None),
-    "repeated_lines": ("n_dup_lines / n_lines", 0.30, None),
-    "repeated_words": ("n_repeat_words / n_words", 0.40, None),
-    "long_words": ("word_chars / n_words", 14.0, 10.0),
-    "unended_lines": ("1 - n_ended / n_lines", 0.90, 0.40),
+#: Each rule votes bad (-1) from the first bound on, good (1) up to the second, and abstains (0) in between.
+RULES: dict[str, tuple[str, float, float]] = {
+    "symbols": ("n_symbols / n_words", 0.10, 0.02),
+    "capitals": ("n_upper / word_chars", 0.50, 0.05),
+    "exclamations": ("n_exclaim / n_words", 0.20, 0.05),
+    "repeated_lines": ("n_dup_lines / n_lines", 0.30, 0.05),
+    "repeated_words": ("n_repeat_words / n_words", 0.25, 0.08),
+    "long_words": ("word_chars / n_words", 7.0, 6.0),
+    "unended_lines": ("1 - n_ended / n_lines", 0.30, 0.02),
 }
-ROUNDS, PRIOR_GOOD, STRENGTH = 50, 0.8, 0.5  # EM steps, first share of good texts, weight of the first accuracies against all votes
+#: EM steps; then what is believed beforehand, with the weight of so many texts, however many there are: the share of good
+#: texts, and how often a rule votes good, abstains and votes bad on good (1) and on bad (-1) ones.
+ROUNDS, PRIOR_TEXTS, PRIOR_GOOD = 100, 20, 0.8
+PRIOR_VOTES = {1: {1: 0.75, 0: 0.2, -1: 0.05}, -1: {1: 0.5, 0: 0.2, -1: 0.3}}
 
 
 def repeat_words(words: Column) -> Column:
@@ -66,57 +68,53 @@ def vote(rule: str) -> Column:
     top, _, below = share.removeprefix("1 - ").partition(" / ")
     value = F.try_divide(F.col(top), F.col(below))
     value = 1 - value if share.startswith("1 - ") else value
-    votes = F.when(value >= bad, -1)
-    return (votes if good is None else votes.when(value <= good, 1)).otherwise(0)
+    return F.when(value >= bad, -1).when(value <= good, 1).otherwise(0)
 
 
 def fit(patterns: list[tuple[tuple[int, ...], int]]) -> tuple[float, list[dict[int, float]]]:
     """Prior log-odds of good and, per rule, the log-odds each vote adds, by expectation-maximisation over vote patterns.
 
-    The first accuracies stay as a prior: rules that break alone (few texts break two) can't be told from noise by agreement
-    only. There are at most 3^rules patterns, whatever the number of texts.
+    The rates at which a rule votes good, abstains and votes bad are estimated for good and for bad texts, so an abstention says as much
+    as it turns out to. There are at most 3^rules patterns, whatever the number of texts.
     """
-    n_rules = len(RULES)
-    # At first, a bad vote speaks strongly, and a good one hardly: bad texts mostly break one rule and meet the others.
-    start = {1: {1: 0.7, 0: 0.29, -1: 0.01}, -1: {1: 0.6, 0: 0.1, -1: 0.3}}
-    table = [{y: dict(start[y]) for y in (1, -1)} for _ in range(n_rules)]
-    good, weight = PRIOR_GOOD, STRENGTH * max(1, sum(count for _, count in patterns))
+    n_rules, good = len(RULES), PRIOR_GOOD
+    rates = [PRIOR_VOTES] * n_rules
     for _ in range(ROUNDS):
-        adds = [_speaks(t) for t in table]
-        seen = [{y: {v: weight * start[y][v] for v in (1, 0, -1)} for y in (1, -1)} for _ in range(n_rules)]
-        total = {1: weight * PRIOR_GOOD, -1: weight * (1 - PRIOR_GOOD)}
+        adds = [_adds(t) for t in rates]
+        seen = [{y: {v: PRIOR_TEXTS * PRIOR_VOTES[y][v] for v in (1, 0, -1)} for y in (1, -1)} for _ in range(n_rules)]
+        total = {1: PRIOR_TEXTS * PRIOR_GOOD, -1: PRIOR_TEXTS * (1 - PRIOR_GOOD)}
         for votes, count in patterns:
             odds = math.log(good / (1 - good)) + sum(adds[r][v] for r, v in enumerate(votes))
-            p = 1 / (1 + math.exp(-odds))
+            p = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
             for y, share in ((1, p), (-1, 1 - p)):
                 total[y] += count * share
                 for r, v in enumerate(votes):
                     seen[r][y][v] += count * share
         good = total[1] / (total[1] + total[-1])
-        table = [{y: {v: seen[r][y][v] / sum(seen[r][y].values()) for v in (1, 0, -1)} for y in (1, -1)} for r in range(n_rules)]
-    return math.log(good / (1 - good)), [_speaks(t) for t in table]
+        rates = [{y: {v: n / sum(found[y].values()) for v, n in found[y].items()} for y in (1, -1)} for found in seen]
+    return math.log(good / (1 - good)), [_adds(t) for t in rates]
 
 
-def _speaks(t: dict[int, dict[int, float]]) -> dict[int, float]:
-    """Log-odds of each vote: a bad one never speaks for a text, a good one never against it, and abstaining says nothing."""
-    return {1: max(0.0, math.log(t[1][1] / t[-1][1])), -1: min(0.0, math.log(t[1][-1] / t[-1][-1])), 0: 0.0}
+def _adds(rates: dict[int, dict[int, float]]) -> dict[int, float]:
+    return {v: math.log(rates[1][v] / rates[-1][v]) for v in (1, 0, -1)}
 
 
 def judge(docs: DataFrame) -> DataFrame:
     """Counts, base verdict, posterior probability of good quality and the verdict kept.
 
-    Rules vote or abstain; expectation-maximisation over the counts of vote patterns estimates how accurate each is; the
-    posterior replaces an all-must-pass filter. base_failed (fewer than 50 words, or more than half of them in repeated
-    3-word windows) always rejects. Null and empty texts count as 0 words and fail the base; repeated rows are judged each;
-    null doc_ids are kept; an empty table gives no rows; other columns are ignored.
+    Rules vote or abstain; expectation-maximisation over the counts of vote patterns estimates how they vote on good and on bad texts;
+    the posterior replaces an all-must-pass filter: a bad vote of a rule that often errs is outvoted. base_failed (fewer than 50
+    words, or more than half of them in repeated 3-word windows) always rejects, and such texts are not learned from. A posterior of
+    exactly 0.5 is kept. Null and empty texts count as 0 words, get no votes and fail the base; repeated rows are judged each;
+    null doc_ids are kept; an empty table gives no rows; other columns are ignored; a text is held whole by one task.
     """
     voted = cut(measures(docs).select("*", *[vote(r).alias(f"vote_{r}") for r in RULES]).withColumn(
         "base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
     votes = [f"vote_{r}" for r in RULES]
-    patterns = sorted((tuple(r[v] for v in votes), r["count"]) for r in voted.groupBy(*votes).count().collect())
+    patterns = sorted((tuple(r[v] for v in votes), r["count"]) for r in voted.filter(~F.col("base_failed")).groupBy(*votes).count().collect())
     prior, adds = fit(patterns)
     odds = F.lit(prior)
     for name, add in zip(votes, adds):
-        odds = odds + F.when(F.col(name) == 1, F.lit(add[1])).when(F.col(name) == -1, F.lit(add[-1])).otherwise(F.lit(0.0))
+        odds = odds + F.when(F.col(name) == 1, F.lit(add[1])).when(F.col(name) == -1, F.lit(add[-1])).otherwise(F.lit(add[0]))
     judged = voted.withColumn("quality", 1 / (1 + F.exp(-odds)))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
