@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from adfeat.functions.chi2 import quantile, upper_tail
 from adfeat.functions.timing import local_day_hours, shifted_partition
-from adfeat.operators.calibration import _pool
+from adfeat.operators.calibration import _pool_borders, _pooled
 
 bucket = st.integers(1, 12).flatmap(lambda n: st.tuples(st.just(n), st.integers(0, n)))
 
@@ -19,7 +19,8 @@ bucket = st.integers(1, 12).flatmap(lambda n: st.tuples(st.just(n), st.integers(
 @given(st.dictionaries(st.integers(0, 10_000), bucket, min_size=1, max_size=25))
 def test_pooling(buckets):
     keys = sorted(buckets)
-    out = _pool(pd.DataFrame([(k, *buckets[k]) for k in reversed(keys)], columns=["bucket", "n", "clicks"]))
+    out = _pool_borders(pd.DataFrame([(k, *buckets[k], 0) for k in reversed(keys)], columns=["bucket", "n", "clicks", "range"]))
+    out = out.assign(rate=out["clicks"] / out["n"])
     assert out["n"].sum() == sum(n for n, _ in buckets.values()) and out["clicks"].sum() == sum(c for _, c in buckets.values())
     assert list(out["rate"]) == sorted(out["rate"]) and out["bucket"].iloc[0] == keys[0]
     counts = [buckets[k] for k in keys]
@@ -31,6 +32,13 @@ def test_pooling(buckets):
         assert out["rate"].iloc[bisect.bisect_right(list(out["bucket"]), k) - 1] == pytest.approx(fit, abs=1e-12)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.dictionaries(st.integers(0, 10_000), bucket, min_size=1, max_size=25), st.integers(0, 25))
+def test_pooling_ranges_first_changes_nothing(buckets, cut):
+    rows = [(k, *buckets[k]) for k in sorted(buckets)]
+    assert _pooled([*_pooled(rows[:cut]), *_pooled(rows[cut:])]) == _pooled(rows)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.floats(0.01, 0.99), st.integers(1, 400))
 def test_quantile_and_tail_agree(prob, dof):
