@@ -19,6 +19,7 @@ STEP = 4_000_000  # bytes encoded at a time
 #: Usual texts hold ASCII and letters of Latin-1 only, which no normalisation changes; "<|" could begin a special string.
 OTHER = r"[^\t\n\r\x20-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]|<\|"
 LETTERS = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+MARKED = rf"([{LETTERS}])([.,;:!?])"
 
 
 def load(path: str):
@@ -144,7 +145,8 @@ class WordEncoder(Encoder):
         self.ends = np.array([(self.tokenizer.id_to_token(i) or "").endswith("</w>") for i in range(size)])
 
     def pieces(self, texts: pa.Array) -> pa.ListArray:
-        return pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        """Words, and what follows them: a unit ends between a letter and a mark, and white space is dropped, so some more is no harm."""
+        return pc.ascii_split_whitespace(pc.utf8_lower(pc.replace_substring_regex(texts, MARKED, r"\1 \2")))
 
     def stretches(self, text: str) -> list[str]:
         return [w for w in self.SPACE.split(text) if w]
