@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from adfeat.config import MAIN, SmoothingRules, Variant
 from adfeat.operators import counters, profile, refresh
-from adfeat.sinks import export
+from adfeat.sinks import export, publish
 
 
 def build_ad_counters(accu: DataFrame, root: str, day: str, variant: Variant = MAIN) -> None:
@@ -33,6 +33,24 @@ def merge_counters(spark: SparkSession, day_snapshot: DataFrame, hourly: DataFra
     export.write_snapshot(refresh.merge_smooth(day_snapshot, hourly, rules), root, day)
 
 
+def publish_merged(day_snapshot: DataFrame, hourly: DataFrame, root: str, rules: SmoothingRules = SmoothingRules(), variant: Variant = MAIN) -> tuple[int, int]:
+    """Publish smoothed counters as a table (``counters``) and in both document shapes (``documents``), each once it is checked.
+
+    The documents are made of the published table; if that is refused, neither is replaced."""
+
+    def bad_counts(rows: DataFrame) -> DataFrame:
+        return export.invalid_counters(rows.withColumn("window_tag", F.lit("30d")))
+
+    def no_document(rows: DataFrame) -> DataFrame:
+        return rows.where(F.col("counter_key").isNull() | F.col("nested").isNull() | F.col("flat").isNull())
+
+    spark = day_snapshot.sparkSession
+    merged = refresh.merge_smooth(day_snapshot, hourly, rules)
+    table = publish.publish(merged, f"{root}/counters", bad_counts)
+    stored = publish.read_published(spark, f"{root}/counters", merged.schema, table)
+    return table, publish.publish(export.merged_views(stored, variant), f"{root}/documents", no_document)
+
+
 def publish_users(user_counters: DataFrame, profiles: DataFrame, root: str, day: str, published_at: int, variant: Variant = MAIN) -> None:
     """Key-value entries of counters and profiles, ready for :func:`adfeat.sinks.export.publish_entries`."""
     export.write_snapshot(export.user_counter_entries(user_counters, published_at, variant), f"{root}/user_counter", day)

@@ -8,6 +8,7 @@ from adfeat import schemas
 from adfeat.config import MAIN, MEASURES, SLOT_PREFIX, USER_COUNTER_KEY_PREFIX, WINDOW_TAGS, Variant
 from adfeat.functions.cells import cell_type
 from adfeat.operators.skew import HOT_ROWS, join_hot
+from adfeat.sources.logs import latest_snapshot, partition_values
 
 
 def read_entities(spark: SparkSession, path: str) -> DataFrame:
@@ -67,6 +68,12 @@ def read_counters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_latest_counters(spark: SparkSession, root: str) -> DataFrame:
+    """The newest daily counter snapshot under ``root`` (``dt=`` folders), without opening older ones."""
+    rows = spark.read.parquet(root)
+    return latest_snapshot(rows, values=partition_values(spark, root, "dt")).drop("dt")
+
+
 def read_allow_list(spark: SparkSession, path: str) -> DataFrame:
     """Allow-list with one entry per line, as column ``app``."""
     return spark.read.text(path).select(F.col("value").alias("app")).distinct()

@@ -8,11 +8,14 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from adfeat.config import MAIN, NATION
+from adfeat.operators import features
 from adfeat.plans import daily, hourly, training
+from adfeat.sinks import publish
 from adfeat.sources import stores, warehouse
+from adfeat.streaming import events
 
 VARIANTS = {v.name: v for v in (MAIN, NATION)}
 
@@ -37,11 +40,15 @@ def parser() -> argparse.ArgumentParser:
     job("profiles", "base", "day", "root", optional=("behaviour", "allow-list"))
     job("ad-info", "apps", "creatives", "campaigns", "day", "root", "as-of")
     job("refresh", "snapshot", "imp-click", "install", "out", "now", "exclude")
+    job("refresh-published", "snapshot-root", "imp-click", "install", "root", "now", "exclude")
     job("merge", "snapshot", "hourly", "day", "root")
+    job("merge-published", "snapshot", "hourly", "root")
     job("publish", "user-counters", "profiles", "day", "root", "published-at")
-    job("samples", "labels", "ad-counters", "user-counters", "profiles", "feature-day", "label-day", "out", optional=("packages", "nation"))
+    job("samples", "labels", "ad-counters", "user-counters", "profiles", "label-day", "out", optional=("feature-day", "packages", "nation"))
     job("logged-samples", "labels", "features", "day", "out", optional=("packages",))
     job("encode", "samples", "out")
+    job("analyse-features", "samples", "features", "out")
+    job("stream-events", "packages", "out", "checkpoint", optional=("servers", "topic", "messages"))
     job("train-calibration", "rates", "out")
     job("evaluate-calibration", "rates", "model")
     job("evaluate-ecpm", "rates")
@@ -52,6 +59,27 @@ def iso(day: str) -> str:
     return dt.datetime.strptime(day, "%Y%m%d").date().isoformat()
 
 
+def day_before(day: str) -> str:
+    return (dt.datetime.strptime(day, "%Y%m%d") - dt.timedelta(days=1)).strftime("%Y%m%d")
+
+
+def json_extractor(named: str) -> features.Extractor:
+    """Extractor of sample lines: ``name=path`` pairs separated by commas, paths below the sample's document."""
+    at = lambda path: F.get_json_object("value", f"$.{path}")
+    pairs = dict(pair.split("=", 1) for pair in named.split(","))
+    labels = [at(f"label.{name}").cast("int") for name in ("click", "attrInstall", "install")]
+    return features.column_extractor(labels[0], F.coalesce(*labels[1:]), {name: at(path) for name, path in pairs.items()})
+
+
+def stream(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Decode events and flush them every five minutes: of a topic without end, or of the message files of a folder until all are read."""
+    if not a.messages and not (a.servers and a.topic):
+        raise SystemExit("stream-events needs --servers and --topic, or --messages")
+    raw = spark.readStream.text(a.messages) if a.messages else events.read_events(spark, a.servers, a.topic)
+    decoded = events.decode_events(raw, a.packages.split(","))
+    events.write_buckets(decoded, a.out, a.checkpoint, once=bool(a.messages)).awaitTermination()
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> None:
     variant = VARIANTS[a.variant]
     packages = a.packages.split(",") if getattr(a, "packages", None) else None
@@ -79,14 +107,25 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
             bad = hourly.refresh_counters_hour(spark, read(a.snapshot), a.imp_click, a.install, a.out, now, a.exclude)
             if not bad.isEmpty():
                 raise SystemExit("counters out of range, see adfeat.sinks.export.invalid_counters")
+        case "refresh-published":
+            now = dt.datetime.strptime(a.now, "%Y%m%d%H")
+            daily_counters = stores.read_latest_counters(spark, a.snapshot_root)
+            refused(lambda: hourly.publish_refresh(spark, daily_counters, a.imp_click, a.install, a.root, now, a.exclude))
+        case "merge-published":
+            refused(lambda: daily.publish_merged(read(a.snapshot), read(a.hourly), a.root, variant=variant))
+        case "analyse-features":
+            training.analyse_features(spark, a.samples, json_extractor(a.features), a.out, compact=variant is NATION)
+        case "stream-events":
+            stream(spark, a)
         case "merge":
             daily.merge_counters(spark, read(a.snapshot), read(a.hourly), a.root, a.day)
         case "publish":
             daily.publish_users(read(a.user_counters), read(a.profiles), a.root, a.day, int(a.published_at), variant)
         case "samples":
             labels = warehouse.read_labels(spark, a.labels, a.label_day, packages, a.nation)
+            feature_day = a.feature_day or day_before(a.label_day)
             training.build_lookup_samples(
-                labels, read(a.ad_counters), read(a.user_counters), read(a.profiles), a.out, iso(a.feature_day), iso(a.label_day), variant
+                labels, read(a.ad_counters), read(a.user_counters), read(a.profiles), a.out, iso(feature_day), iso(a.label_day), variant
             )
         case "logged-samples":
             labels = warehouse.read_labels(spark, a.labels, a.day, packages)
@@ -101,6 +140,14 @@ def run(spark: SparkSession, a: argparse.Namespace) -> None:
             training.evaluate_ecpm(spark, a.rates).show(truncate=False)
 
 
+def refused(publishing) -> None:
+    """Run it; what its check refuses ends the job, and readers keep the version before."""
+    try:
+        publishing()
+    except publish.Refused as why:
+        raise SystemExit(f"not published: {why}") from None
+
+
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     run(SparkSession.builder.appName(args.job).getOrCreate(), args)

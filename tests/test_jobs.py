@@ -35,7 +35,7 @@ def test_samples_from_tables(spark, tables, tmp_path, rows_of):
                "--profiles", f"{r}/profile/dt=20240130", "--label-day", "20240131", "--out", f"{r}/samples", "--packages", ",".join(fx.PACKAGES)]
     with pytest.raises(ValueError):
         jobs.main([*samples, "--feature-day", "20240131"])
-    jobs.main([*samples, "--feature-day", "20240130"])
+    jobs.main(samples)  # by default the features of the day before
     from registry.queries import train_sample_lookup
 
     assert rows_of(spark.read.text(f"{r}/samples")) == rows_of(train_sample_lookup(spark, SF).select("sample"))
@@ -44,6 +44,18 @@ def test_samples_from_tables(spark, tables, tmp_path, rows_of):
     assert spark.read.parquet(f"{r}/kv/user_counter").first().expire_at == 5 + 259200
     jobs.main(["merge", "--snapshot", f"{r}/ad/dt=20240130", "--hourly", f"{r}/ad/dt=20240130", "--day", "20240130", "--root", f"{r}/merged"])
     assert spark.read.parquet(f"{r}/merged").select("dim_set").distinct().count() == 2
+    jobs.main(["merge-published", "--snapshot", f"{r}/ad/dt=20240130", "--hourly", f"{r}/ad/dt=20240130", "--root", f"{r}/published"])
+    from adfeat.sinks.publish import current, read_published
+
+    table, documents = read_published(spark, f"{r}/published/counters"), read_published(spark, f"{r}/published/documents")
+    assert table.count() == documents.count() == spark.read.parquet(f"{r}/merged").count()
+    spark.read.parquet(f"{r}/ad/dt=20240130").withColumn("imp", F.lit(2**40)).write.parquet(f"{r}/broken")
+    with pytest.raises(SystemExit, match="not published"):
+        jobs.main(["merge-published", "--snapshot", f"{r}/broken", "--hourly", f"{r}/broken", "--root", f"{r}/published"])
+    assert current(spark, f"{r}/published/counters").version == current(spark, f"{r}/published/documents").version == 1
+
+    jobs.main(["analyse-features", "--samples", f"{r}/samples", "--features", "ctx_pos=feature.context.posId,ad=feature.adData.adInfo.adId", "--out", f"{r}/analysis"])
+    assert {x.value.split("\t")[0] for x in spark.read.text(f"{r}/analysis/mi_ctr").collect()} == {"ctx_pos", "ad"}
 
 
 def test_nation_variant(spark, tables, tmp_path, rows_of):
@@ -73,6 +85,35 @@ def test_ad_info(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path)).drop("dt").exceptAll(adinfo_overlay(spark, SF)).isEmpty()
 
 
+def test_refresh_from_the_newest_snapshot(spark, tmp_path):
+    from adfeat.sinks.export import write_hourly_tsv
+    from adfeat.sinks.publish import read_published
+
+    r, ids = str(tmp_path), "requestid string, beyla_id string, country string, pos_id string, package_name string"
+    counts = "dim_set string, dim_key string, window_tag string, imp long, click long, attr_install long"
+    for day, imp in (("20240129", 1), ("20240130", 10)):
+        spark.createDataFrame([("ad_id", "1", "7d", imp, 0, 0)], counts).write.parquet(f"{r}/ad/dt={day}")
+    write_hourly_tsv(spark.createDataFrame([("r", "u", "EG", "p", "app", "AD_CpiShow", "x", "1", "2", "2024013100")], f"{ids}, event_name string, ad_package_name string, ad_id string, c_id string, hour string"), f"{r}/shows")
+    write_hourly_tsv(spark.createDataFrame([("r", "u", "EG", "p", "app", "x", "1", "2", "2024013100")], f"{ids}, ad_package_name string, ad_id string, c_id string, hour string"), f"{r}/installs")
+    jobs.main(["refresh-published", "--snapshot-root", f"{r}/ad", "--imp-click", f"{r}/shows", "--install", f"{r}/installs", "--root", f"{r}/fresh",
+               "--now", "2024013101", "--exclude", "none"])
+    rows = {(x.dim_set, x.dim_key, x.window_tag): x.imp for x in read_published(spark, f"{r}/fresh").collect()}
+    assert rows[("ad_id", "1", "7d")] == 11
+
+
+def test_stream_of_message_files(spark, tmp_path):
+    message = {"sub_pf": "cpi", "event_name": "AD_CpiShow", "package_name": "app", "pos_id": "p", "beyla_id": "u",
+               "params": [{"ad_package_name": "x", "campaign_id": 4, "c_id": 3}]}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text(json.dumps({"message": json.dumps(message)}) + "\n{broken\n")
+    job = ["stream-events", "--packages", "app", "--out", str(tmp_path / "out"), "--checkpoint", str(tmp_path / "c")]
+    jobs.main([*job, "--messages", str(tmp_path / "in")])
+    jobs.main([*job, "--messages", str(tmp_path / "in")])
+    assert [x.value for x in spark.read.text(str(tmp_path / "out")).collect()] == ["AD_CpiShow\tu\tapp\tp\tx\t4\t3"]
+    with pytest.raises(SystemExit):
+        jobs.main(job)
+
+
 def test_unknown_job():
     with pytest.raises(SystemExit):
         jobs.main(["no-such-job"])
