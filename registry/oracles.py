@@ -397,6 +397,8 @@ FROM lab WHERE package_name = 'app.two' AND bid_price >= 5 AND c_id IS NOT NULL"
     "chi_square_test": CHI_TEST,
     "index_allocation": index_sql("""CASE fea_k WHEN 'up_uid' THEN 200000 WHEN 'ctx_ip' THEN 100000 WHEN 'up_uc/7d' THEN 10000 WHEN 'ad_ac' THEN 5000
   WHEN 'ad_ai_cid' THEN 10000 WHEN 'ad_ai_aid' THEN 3000 WHEN 'ctx_ad_pkg' THEN 3 * n ELSE 10 * n END""", "fea_k <> 'ctx_ne3'"),
+    "feature_index_lines": "SELECT concat_ws(chr(9), name, f1, size, type, f2, f3, f4) AS value FROM (" + index_sql("""CASE fea_k WHEN 'up_uid' THEN 200000 WHEN 'ctx_ip' THEN 100000 WHEN 'up_uc/7d' THEN 10000 WHEN 'ad_ac' THEN 5000
+  WHEN 'ad_ai_cid' THEN 10000 WHEN 'ad_ai_aid' THEN 3000 WHEN 'ctx_ad_pkg' THEN 3 * n ELSE 10 * n END""", "fea_k <> 'ctx_ne3'") + ")",
     "index_allocation_compact": index_sql("""CASE fea_k WHEN 'ctx_ip' THEN 100000 WHEN 'up_uc/7d' THEN 10000 WHEN 'ad_ac' THEN 10000
   WHEN 'ad_ai_cid' THEN 10000 ELSE 10 * n END"""),
     "encoded_examples": with_(EVENTS, LABELS) + "SELECT base64(encode(concat_ws('|', rid, client_ip, cast(c_id AS varchar)))) AS value FROM lab",
@@ -423,6 +425,10 @@ SELECT strftime(date_trunc('hour', ts) + to_hours(h), '%Y%m%d%H') AS end_hour, a
     ) + "SELECT * FROM recount",
     "catalogue_hours": with_(EVENTS) + "SELECT event_id, event_type, k, hour FROM ev",
     "hour_lines_read": with_(EVENTS) + "SELECT event_id, pos_id, k FROM ev WHERE hour LIKE '202401%'",
+    "log_hour_read": with_(EVENTS) + "SELECT event_id, k FROM ev WHERE hour = (SELECT max(hour) FROM ev)",
+    "feature_counts_sparse": with_(EVENTS) + """SELECT f.fea_k, f.fea_v, cast(k % 3 = 0 AS integer) AS click, cast(k % 9 = 0 AS integer) AS install, count(*) AS imp
+FROM (SELECT k, unnest([{'fea_k': 'rare', 'fea_v': CASE WHEN k % 10 = 0 THEN cast(k AS varchar) END}, {'fea_k': 'pos', 'fea_v': CASE WHEN k % 20 = 0 THEN pos_id END}]) AS f
+  FROM ev WHERE event_type = 'view') WHERE f.fea_v IS NOT NULL GROUP BY ALL""",
     "allow_list_read": with_(EVENTS) + "SELECT DISTINCT ad_package_name AS app FROM ev",
     "entity_store_lookup": with_(ACCU, USER_LONG) + """SELECT user_id, dim_set, dim_key, window_tag, imp, click, attr_install FROM user_long
 WHERE user_id IN (SELECT cast(user_id * 5 AS varchar) FROM events)""",

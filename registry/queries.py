@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -242,6 +243,21 @@ def feature_label_counts(spark, d):
     return _label_features(spark, d)
 
 
+def feature_counts_sparse(spark, d):
+    """Counts of samples most of which have no features at all."""
+    e = fx.events(spark, d).where(F.col("event_type") == "view")
+    k = F.col("k")
+    extract = features.column_extractor((k % 3 == 0).cast("int"), (k % 9 == 0).cast("int"), {"rare": F.when(k % 10 == 0, k), "pos": F.when(k % 20 == 0, F.col("pos_id"))})
+    return features.feature_label_counts(e, extract)
+
+
+def feature_index_lines(spark, d):
+    """Index sizes through their TSV artefact."""
+    path = f"{fx.scratch(spark)}/index"
+    export.write_tsv(features.index_allocation(_label_features(spark, d)), path)
+    return spark.read.text(path)
+
+
 def mi_ctr(spark, d):
     return features.mutual_information(_label_features(spark, d)).withColumn("mi", F.round("mi", 9))
 
@@ -359,6 +375,15 @@ def hour_lines_read(spark, d):
     return logs.read_day_json(spark, root, "202401*", "event_id bigint, pos_id string, k int")
 
 
+def log_hour_read(spark, d):
+    """Raw lines of the newest log hour, out of all hours written, asked for by the output hour it feeds."""
+    root = fx.scratch(spark)
+    newest = dt.datetime.strptime(catalogue.hours_of(fx.events(spark, d))[-1], "%Y%m%d%H") - dt.timedelta(hours=8)
+    lines = fx.events(spark, d).select(F.to_json(F.struct("event_id", "k")).alias("value"), F.substring("hour", 1, 8).alias("datepart"), F.substring("hour", 9, 2).alias("hour"))
+    lines.repartition("datepart", "hour").write.partitionBy("datepart", "hour").text(root)
+    return logs.read_hour_lines(spark, root, newest.strftime("%Y%m%d%H")).select(F.from_json("value", "event_id bigint, k int").alias("e")).select("e.*")
+
+
 def allow_list_read(spark, d):
     path = f"{fx.scratch(spark)}/apps"
     fx.events(spark, d).select("ad_package_name").write.text(path)
@@ -478,10 +503,10 @@ QUERIES = {f.__name__: f for f in (
     flatten_mixer_log, flatten_rec_log, flatten_req_ads, flatten_train_feature,
     user_profile, user_profile_base, ascii_guard, package_category, adinfo_overlay, adinfo_documents,
     train_sample_lookup, train_sample_nation, train_sample_logged, scored_labels,
-    feature_label_counts, mi_ctr, mi_cvr, chi_square_stat, chi_square_uncorrected, chi_square_test,
+    feature_label_counts, feature_counts_sparse, feature_index_lines, mi_ctr, mi_cvr, chi_square_stat, chi_square_uncorrected, chi_square_test,
     index_allocation, index_allocation_compact, encoded_examples,
     ctr_buckets, isotonic_model, calibrated_scores, calibrated_scores_inclusive, calibration_bias,
     auc, auc_signed, bid_weighted_auc,
-    calibration_model_file, recount_from_files, catalogue_hours, hour_lines_read, allow_list_read, entity_store_lookup, paired_days, published_counters,
+    calibration_model_file, recount_from_files, catalogue_hours, hour_lines_read, log_hour_read, allow_list_read, entity_store_lookup, paired_days, published_counters,
     stream_events, stream_events_live, stream_flush_live, rolling_24h, rolling_24h_live, kv_export, kv_profile_export, kv_lookup, validate_export, artefact_manifest,
 )}
