@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from adfeat.config import MAIN, NATION, DimSet, dim_sets
 from adfeat.functions.cells import window_sums
@@ -126,3 +127,27 @@ def test_plan_stays_in_the_jvm(spark):
 def test_custom_sets(spark):
     rows = counters.rollup(accu(spark), dim_sets(["ad_id"]), ["window_tag"], counters.measure_sums()).collect()
     assert {(r.window_tag, r.dim_key): r.imp for r in rows} == {("7d", "1"): 10, ("1d", "2"): 0}
+
+
+def _exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange" in line]
+
+
+def test_user_counters_shuffle_narrow_rows_once(spark, rows_of):
+    from adfeat.sinks.export import user_counter_entries
+
+    rows = accu(spark).unionByName(accu(spark).withColumn("user_id", F.lit(None).cast("string")))
+    for variant in (MAIN, NATION):
+        summed = counters.user_counters(rows, variant, tasks=3)
+        (line,) = _exchanges(summed)
+        assert "hashpartitioning(user_id" in line and ", 3)" in line
+        want = counters.user_counter_rows(rows, variant).groupBy("user_id", "window_tag", "dim_set", "dim_key").agg(*counters.measure_sums())
+        assert rows_of(summed) == rows_of(want)
+    entries = user_counter_entries(counters.user_counter_rows(counters.by_user(rows)), 0)
+    assert len(_exchanges(entries)) == 1
+    assert rows_of(entries) == rows_of(user_counter_entries(counters.user_counter_rows(rows), 0))
+
+
+def test_tasks_of_user_counters_grow_with_the_rows(spark):
+    assert counters.user_tasks(spark, 0) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert counters.user_tasks(spark, 216_000_001) == 2161
