@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from adfeat.operators.skew import chunked, join_hot, join_packed, key_counts, repeated
+from adfeat.operators.skew import chunked, join_hot, join_packed, key_counts, perhaps_asked, repeated
 
 
 def frames(spark):
@@ -94,3 +94,33 @@ def test_rows_with_maps_are_counted_and_repeated(spark, rows_of):
     assert rows_of(repeated(packed.drop("_hash"))) == rows_of(df)
     right = spark.createDataFrame([(0, "x"), (1, "y")], "k long, v string")
     assert rows_of(join_hot(df, right, ["k"], "left", 5, chunk=3).select("k", "s", "m", "v")) == rows_of(df.join(right, "k", "left").select("k", "s", "m", "v"))
+
+
+def test_rows_that_nobody_asks_for_go_before_the_shuffle(spark, rows_of):
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("g")).unionByName(
+        spark.sql("SELECT cast(NULL AS string) AS k, 1L AS g"))
+    asked = spark.range(0, 20_000, 50).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("g"))
+    near = perhaps_asked(rows, asked, ["k", "g"])
+    exact = rows.join(asked, ["k", "g"], "left_semi")
+    assert rows_of(near.join(asked, ["k", "g"], "left_semi")) == rows_of(exact)
+    assert exact.count() <= near.count() < 500
+    other = asked.withColumn("k", F.col("k").cast("bigint"))  # equal to the text in a join, with another hash
+    assert perhaps_asked(rows, other, ["k", "g"]).count() == 20_001
+
+
+def test_rows_of_other_users_go_before_the_shuffle(spark):
+    from adfeat.operators.samples import of_label_users
+
+    rows = spark.range(20_000).select(F.col("id").cast("string").alias("user_id"), F.lit(1).alias("imp"))
+    labels = spark.sql("SELECT explode(array('5', '5', '77', 'x', NULL)) AS user_id")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # large labels: nothing is broadcast by its size
+    try:
+        kept = of_label_users(rows, labels)
+        plan = kept._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(r.user_id for r in kept.collect()) == ["5", "77"]
+    sort_merge, marks = (next(i for i, line in enumerate(plan) if kind in line) for kind in ("SortMergeJoin", "BroadcastHashJoin"))
+    shuffle = next(i for i, line in enumerate(plan) if "Exchange hashpartitioning(user_id" in line)
+    assert sort_merge < shuffle < marks
