@@ -159,3 +159,12 @@ def test_pairs_of_days(spark, tmp_path):
 def test_feature_days_follow_the_label_day(spark):
     df = spark.sql("SELECT explode(array(date'2024-03-01', date'2024-01-01')) AS d")
     assert {str(r[0]) for r in df.select(samples.feature_date_of(F.col("d"))).collect()} == {"2024-02-29", "2023-12-31"}
+
+
+def test_buckets_of_the_store_grow_with_its_input(spark, monkeypatch):
+    from registry.queries import entity_store_lookup
+
+    monkeypatch.setattr(counters, "TASK_ROWS", 200)
+    tasks = counters.user_tasks(spark, fx.table(spark, SF, "lineitem").count())
+    plan = entity_store_lookup(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 8 and f"SelectedBucketsCount: {tasks} out of {tasks}" in plan
