@@ -166,5 +166,10 @@ def test_buckets_of_the_store_grow_with_its_input(spark, monkeypatch):
 
     monkeypatch.setattr(counters, "TASK_ROWS", 200)
     tasks = counters.user_tasks(spark, fx.table(spark, SF, "lineitem").count())
-    plan = entity_store_lookup(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # a broadcast of the requests would need no buckets
+    try:
+        plan = entity_store_lookup(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert tasks > 8 and f"SelectedBucketsCount: {tasks} out of {tasks}" in plan
