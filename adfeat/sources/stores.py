@@ -16,13 +16,17 @@ def read_entities(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("user_id string, pb string").json(path)
 
 
-def write_entity_store(entities: DataFrame, table: str, buckets: int, path: str | None = None) -> None:
+def write_entity_store(entities: DataFrame, table: str, buckets: int, path: str | None = None, dealt: bool = False) -> None:
     """Entities ``(user_id, pb)`` as a table bucketed and sorted by user.
 
     Lookups by user then shuffle their requests only, however often the store is asked: it lies as the join wants it. ``buckets``
-    about one per 200 MB of the store, but no fewer than ``spark.sql.shuffle.partitions``: below that Spark shuffles both sides."""
-    rows = entities.select("user_id", "pb").repartition(buckets, "user_id")
-    writer = rows.write.bucketBy(buckets, "user_id").sortBy("user_id").format("parquet")
+    about one per 200 MB of the store, but no fewer than ``spark.sql.shuffle.partitions``: below that Spark shuffles both sides.
+
+    ``dealt``: the rows lie by user over ``buckets`` tasks already, as those made from rows dealt out by
+    :func:`adfeat.operators.counters.by_user` do, so the texts aren't shuffled; a row that lies elsewhere only costs a file more."""
+    rows = entities.select("user_id", "pb")
+    rows = rows if dealt else rows.repartition(buckets, "user_id")
+    writer = rows.write.bucketBy(buckets, "user_id").sortBy("user_id").format("parquet").option("compression", "zstd")
     (writer if path is None else writer.option("path", path)).saveAsTable(table)
 
 

@@ -173,3 +173,29 @@ def test_buckets_of_the_store_grow_with_its_input(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert tasks > 8 and f"SelectedBucketsCount: {tasks} out of {tasks}" in plan
+
+
+def test_texts_of_the_store_are_not_shuffled(spark, monkeypatch, tmp_path):
+    from registry import queries
+
+    frame = type(spark.range(0))
+    calls, folder, deal = [], tmp_path / "shared", frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *keys: calls.append(keys) or deal(self, n, *keys))
+    monkeypatch.setattr(fx, "scratch", lambda _: str(folder))
+    found = queries.entity_store_lookup(spark, SF)
+    files = [f.name.split("_")[-1].split(".")[0] for f in (folder / "store").glob("part-*.parquet")]
+    assert calls.count(("user_id",)) == 1  # the narrow input rows, before they become texts
+    assert len(files) == len(set(files)) > 1  # each bucket lies in one file
+    assert found.count() > 0
+
+
+def test_store_of_rows_that_lie_elsewhere(spark, tmp_path):
+    pb = '{"storeUserCounter":{"user_id#%s":{"countFeatures1d":{"imp":%d}}}}'
+    users = [None, "a", "a", "b", "c", "d"]
+    entities = spark.createDataFrame([(u, pb % (u, k + 1)) for k, u in enumerate(users)], "user_id string, pb string").repartition(5)
+    asked = spark.createDataFrame([("a",), ("a",), ("c",), (None,)], "user_id string")
+    got = []
+    for dealt in (False, True):
+        stores.write_entity_store(entities, f"lies_{dealt}", 8, str(tmp_path / str(dealt)), dealt=dealt)
+        got.append(sorted((r.user_id, r.imp) for r in stores.counters_of_users(asked, f"lies_{dealt}").collect()))
+    assert got[0] == got[1] == [("a", 2), ("a", 3), ("c", 5)]
