@@ -48,6 +48,25 @@ def test_encoders_give_the_librarys_ids(kind, name):
     assert [np.frombuffer(x, "<u2").tolist() for x in kind(vocabulary(name)).encode(pa.array(texts))] == library(name, texts)
 
 
+@pytest.mark.parametrize(("kind", "name"), [(encoding.WordEncoder, WORD), (encoding.ByteEncoder, BYTE)])
+def test_encoders_remember_pieces_beyond_a_task(kind, name, monkeypatch):
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    texts = [f"a{x}{y}b c{x}\nd{y} {x}e{x}'s 1{y}2 {x}\n\n{y}f''ll" for x in marks for y in marks] + ["Some words, and \"others\" (in brackets)-\nlines [too]"]
+    wanted = library(name, texts)
+    monkeypatch.setattr(encoding.Encoder, "MEMORY", {})
+
+    def ids(made):
+        return [np.frombuffer(x, "<u2").tolist() for x in made.encode(pa.array(texts))]
+
+    assert ids(kind(vocabulary(name))) == wanted
+    sent, later = [], kind(vocabulary(name))
+    monkeypatch.setattr(later, "fresh", lambda new, ask=later.fresh: sent.extend(new.to_pylist()) or ask(new))
+    assert ids(later) == wanted and not sent
+    few = type("Few", (kind,), {"KEPT": 20})(vocabulary(name))
+    monkeypatch.setattr(encoding.steps, "__defaults__", (200,))
+    assert ids(few) == wanted and len(encoding.Encoder.MEMORY[few.key][0]) <= 60
+
+
 def test_sequences_round_trip(odd, tmp_path):
     rows = sorted(((r.doc_id, r.text) for r in odd.collect()), key=lambda r: (r[0] is not None, r[0] or 0))
     sizes = {(i, zlib.crc32(np.array([*ids, 1], "<u4").tobytes())): len(ids) + 1 for (i, _), ids in zip(rows, library(WORD, [t for _, t in rows]))}
