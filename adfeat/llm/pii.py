@@ -122,20 +122,20 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sur
         able = cut(able.filter(F.col("seeds") >= support))
         rows = able.count()
         near = cut(edges.join(small(able.select("pattern").distinct(), rows, 128), "pattern", "left_semi"))
-        able = cut(able.join(near.groupBy("pattern").agg(F.countDistinct("instance").alias("n")), "pattern"))
+        able = cut(able.join(near.groupBy("pattern").agg(F.countDistinct("instance").alias("n")), "pattern"), rows)
         unknown = near.filter("kind < 0").select("instance", "pattern")
 
         def scored(learned: DataFrame, able: DataFrame = able, unknown: DataFrame = unknown) -> DataFrame:
             more = unknown.join(learned, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("more"))
             return cut(able.join(more, ["pattern", "kind"], "left").select(
-                "pattern", "kind", ((F.col("mass") + F.coalesce("more", F.lit(0.0))) / (F.col("n") + 1)).alias("score")))
+                "pattern", "kind", ((F.col("mass") + F.coalesce("more", F.lit(0.0))) / (F.col("n") + 1)).alias("score")), rows)
 
         scores, learned = scored(accepted), accepted
         for _ in range(rounds if rows else 0):
             met = unknown.join(small(scores, rows, 128), "pattern").select("instance", "kind", "score")
             learned = cut(met.unionByName(accepted).groupBy("instance", "kind").agg(F.max("score").alias("score")))
             scores = scored(learned)
-        accepted = cut(learned.filter(F.col("score") >= sure))
+        accepted = learned.filter(F.col("score") >= sure)
         before, known = known, accepted.count()
         if known == before:
             return scores.filter(F.col("score") >= sure), accepted

@@ -280,6 +280,17 @@ def test_pii_accepted_instances_induce_patterns(spark):
     assert spans[1000] == "phone:21:33" and spans[1001] == "phone:21:33" and spans[1002] == ""
 
 
+def test_pattern_scores_take_few_files(spark):
+    rows = [(k, f"call me at +1 555 010 {1000 + k} now, call me at 555-0199-{100 + k} now") for k in range(12)]
+    found, merge = pii.occurrences(table(spark, rows)), "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")  # else adaptive execution merges tables as small as these
+    try:
+        scores, accepted = pii.patterns(found)
+        assert scores.rdd.getNumPartitions() == 1 and scores.count() and accepted.count() == 12
+    finally:
+        spark.conf.unset(merge)
+
+
 def test_pii_finds_identifiers_in_groups(spark):
     rows = [(k, f"please call me at +1 555 010 10{k:02d} today") for k in range(8)]
     rows += [(20, "please call me at 555 0199 771 today"), (21, "please call me at (555) 0199-772 today"), (22, "lot 555 0199 771, (555) 0199-772."),
