@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import cut, let, lower_words, on_doc, small, text_key, upto
+from adfeat.llm.common import cut, few, let, lower_words, on_doc, small, text_key, upto
 
 WINDOW = 13  # words of a benchmark window; shorter items are one window
 
@@ -79,16 +79,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
     texts have no words and are clean; rows equal in doc_id and text come out once; null doc_ids are kept; an empty benchmark
     hits nothing; other columns are ignored. Items of a null item_id count as item "null", items of equal id are one item.
     """
-    windows = cut(item_windows(benchmark, window))
+    windows = cut(few(item_windows(benchmark, window)))
     lengths = sorted(r["n"] for r in windows.select("n").distinct().collect())  # at most `window` rows
     base = docs.select("doc_id", "text", text_key().alias("text_key"))
     empty = F.array().cast("array<struct<n:int,start:int,window:string>>")
     if lengths:
         # A window of n words is winnowed as a text of its own: its one fingerprint is what a document with that window keeps.
-        prints = cut(windows.select(F.explode(fingerprints(F.split("window", " "), lengths)).alias("print")).distinct())
+        prints = cut(few(windows.select(F.explode(fingerprints(F.split("window", " "), lengths)).alias("print")).distinct()))
         rows = prints.count()
         found = base.select("doc_id", "text_key", F.explode(fingerprints(lower_words(F.col("text")), lengths)).alias("print"))
-        hits = cut(found.join(small(prints, rows, 16), "print").groupBy("doc_id", "text_key").agg(F.collect_set("print").alias("hits")))
+        hits = cut(few(found.join(small(prints, rows, 16), "print").groupBy("doc_id", "text_key").agg(F.collect_set("print").alias("hits"))))
         size = hits.agg(F.count("*").alias("n"), F.sum(F.size("hits")).alias("prints")).first()
         joined = on_doc(base, hits, size=64 * size["n"] + 8 * (size["prints"] or 0)).select("doc_id", "text_key", lower_words(F.col("text")).alias("words"), "hits")
         spots = F.when(F.col("hits").isNotNull(), windows_at(F.col("words"), F.col("hits"), lengths)).otherwise(empty)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import cut, let, on_doc, saved, small, text_key, upto, whole_row
+from adfeat.llm.common import cut, few, let, on_doc, saved, small, text_key, upto, whole_row
 
 KINDS = ["email", "ip", "card", "phone"]
 #: kind: what a text must hold for a match, and the shape; possessive, so that long runs take linear time without recursion.
@@ -97,7 +97,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     tokens = F.concat(matches(F.col("text"), "[0-9]", TOKEN, -1), grouped)
     found = base.select("doc_id", "text_key", F.sort_array(F.concat(*kinds)).alias("base"), tokens.alias("tokens"))
     apart = lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))
-    return saved(found.withColumn("tokens", F.filter("tokens", apart)))
+    return saved(few(found.withColumn("tokens", F.filter("tokens", apart))))
 
 
 def patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sure: float = SURE) -> tuple[DataFrame, DataFrame]:
@@ -110,18 +110,18 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sur
     added, however long the chain.
     """
     sides = [found.select(F.explode(c).alias("s")).select("s.instance", "s.kind", F.explode("s.patterns").alias("pattern")) for c in ("base", "tokens")]
-    edges = cut(reduce(DataFrame.unionByName, sides).distinct())
+    edges = cut(few(reduce(DataFrame.unionByName, sides).distinct()))
     shape = F.count("*").alias("seeds"), F.count("*").cast("double").alias("mass")
-    base = cut(edges.filter("kind >= 0").groupBy("pattern", "kind").agg(*shape))
+    base = cut(few(edges.filter("kind >= 0").groupBy("pattern", "kind").agg(*shape)))
     accepted, known = edges.sparkSession.createDataFrame([], "instance string, kind int, score double"), 0
     while True:
         # Only patterns that enough seeds induce can count by now: the rest of the graph waits for further seeds.
         learners = edges.filter("kind < 0").select("instance", "pattern").join(small(accepted, known, 128), "instance")
         gained = learners.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"), F.lit(0.0).alias("mass"))
         able = base.unionByName(gained).groupBy("pattern", "kind").agg(F.sum("seeds").alias("seeds"), F.sum("mass").alias("mass"))
-        able = cut(able.filter(F.col("seeds") >= support))
+        able = cut(few(able.filter(F.col("seeds") >= support)))
         rows = able.count()
-        near = cut(edges.join(small(able.select("pattern").distinct(), rows, 128), "pattern", "left_semi"))
+        near = cut(few(edges.join(small(able.select("pattern").distinct(), rows, 128), "pattern", "left_semi")))
         able = cut(able.join(near.groupBy("pattern").agg(F.countDistinct("instance").alias("n")), "pattern"), rows)
         unknown = near.filter("kind < 0").select("instance", "pattern")
 
@@ -133,7 +133,7 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sur
         scores, learned = scored(accepted), accepted
         for _ in range(rounds if rows else 0):
             met = unknown.join(small(scores, rows, 128), "pattern").select("instance", "kind", "score")
-            learned = cut(met.unionByName(accepted).groupBy("instance", "kind").agg(F.max("score").alias("score")))
+            learned = cut(few(met.unionByName(accepted).groupBy("instance", "kind").agg(F.max("score").alias("score"))))
             scores = scored(learned)
         accepted = learned.filter(F.col("score") >= sure)
         before, known = known, accepted.count()
@@ -144,7 +144,7 @@ def patterns(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, sur
 def discovered(found: DataFrame, instances: DataFrame) -> DataFrame:
     """(doc_id, text_key, more): spans of accepted instances, wherever they stand; the surest kind of each."""
     best = instances.groupBy("instance").agg(F.min_by("kind", F.struct(-F.col("score"), "kind")).alias("kind"))
-    best = cut(best)
+    best = cut(few(best))
     spots = found.select("doc_id", "text_key", F.explode("tokens").alias("t")).select("doc_id", "text_key", "t.instance", "t.start", "t.end")
     met = spots.join(small(best, best.count(), 128), "instance")
     return met.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adfeat.llm.common import UPPER, saved, small, text_key
+from adfeat.llm.common import UPPER, few, saved, small, text_key
 from adfeat.llm.encoding import frugal, raw
 
 BITS, PREFIX = 18, 5  # hashed features, characters of a word's beginning that are a feature too
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     confirmed = usable.join(small(ids, 1, 16 * sizes[0] + (sizes[1] or 0)), "doc_id", "left_semi")
     texts = sampled(confirmed, positives, confirmed.count()).withColumn("positive", F.lit(True))
     others = sampled(usable, unlabelled, usable.count()).withColumn("positive", F.lit(False))
-    rows = saved(features(texts.unionByName(others)))
+    rows = saved(few(features(texts.unionByName(others))))
     found, n_rows = np.zeros((2, 1 << BITS), np.int64), np.zeros(2, np.int64)
     for r in rows.groupBy("positive").count().collect():
         n_rows[int(r["positive"])] = r["count"]

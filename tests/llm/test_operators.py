@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from adfeat.llm import (
-    arrow_sequences, decontamination, encoding, licenses, neardup, packing, pii, quality, shards, token_counts, toxicity)
+    arrow_sequences, common, decontamination, encoding, licenses, neardup, packing, pii, quality, shards, token_counts, toxicity)
 from adfeat.llm.queries import QUERIES, vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -459,3 +460,42 @@ def test_query_digests(spark):
         spans = brute_pii(r.text)
         text = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
         assert got[r.doc_id].base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize(("kind", "name"), [(encoding.WordEncoder, WORD), (encoding.ByteEncoder, BYTE)])
+def test_encoders_send_new_pieces_in_parts(kind, name, monkeypatch):
+    texts = [*ODD, *(f"word{k}a,b{k}' {k}th\nline{k % 7}" for k in range(300))]
+    wanted, sent, fresh = library(name, texts), [], kind.fresh
+    monkeypatch.setattr(encoding.Encoder, "MEMORY", {})
+    monkeypatch.setattr(encoding, "NEW", 50, raising=False)
+    monkeypatch.setattr(kind, "fresh", lambda self, pieces: sent.append(len(pieces)) or fresh(self, pieces))
+    assert [np.frombuffer(x, "<u2").tolist() for x in kind(vocabulary(name)).encode(pa.array(texts))] == wanted
+    assert len(sent) > 5 and max(sent) == 50
+
+
+def test_stages_write_few_files(spark, tmp_path):
+    """However many partitions they shuffle to: at most two files a core here (8 cores, 24 partitions), with the whole result."""
+    texts = [f"reach {k} me at +1 555 010 {1000 + k} now or mail to p{k}@example.org for more of the {k % 9} goods" for k in range(120)]
+    rows = [*enumerate(texts), *[(k + 200, t) for k, t in enumerate(texts[:50])], (None, None), (400, "")]
+    table(spark, rows).repartition(24).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, int(k % 9 == 0)) for k in range(120)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, texts[3]), (2, "not there at all")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "24", "spark.sql.files.openCostInBytes": "128m"}
+    old = {k: spark.conf.get(k) for k in settings}
+    folder = Path(common.shared_dir(spark).removeprefix("file:"))
+    files = lambda: Counter(p.parent for p in folder.rglob("part-*"))
+    before = files()
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        assert docs.rdd.getNumPartitions() == 24
+        for _, stage in corpus_pipeline.STAGES:
+            docs = common.saved(stage(spark, docs, str(tmp_path)))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    made = {d: n for d, n in files().items() if d not in before}
+    assert len(made) > 20 and max(made.values()) <= 16
+    left = {r["doc_id"] for r in docs.select("doc_id").collect()}  # copies go, and the null row is a copy of the empty text
+    assert 400 in left and not any(k is None or 200 <= k < 250 for k in left)
